@@ -1,0 +1,113 @@
+"""Event-log metrics over task events derived from ``lineitem``."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from sparkretail.operators import eventlog
+from sparkretail.plans import derive
+from sparkretail.plans.derive import LINES_SQL
+
+START_MS = 1_700_000_000_000
+
+
+def task_events(spark: SparkSession, sf: str) -> DataFrame:
+    """One finished task per line item: return flag as run, line number as stage, the
+    quantity as seconds, the price as shuffle bytes of odd stages. Stage and application
+    events follow from the tasks."""
+    launch = F.lit(START_MS) + F.col("key") % 100_000
+    finish = launch + (F.col("l_quantity") * 1000).cast("bigint")
+    odd = F.col("l_linenumber") % 2 == 1
+    schema = StructType.fromDDL(eventlog.EVENT_SCHEMA)
+
+    tasks = derive.lines(spark, sf).select(
+        F.col("l_returnflag").alias("log"),
+        F.lit("SparkListenerTaskEnd").alias("Event"),
+        F.col("l_linenumber").alias("Stage ID"),
+        F.struct(
+            launch.alias("Launch Time"), finish.alias("Finish Time"), F.lit(False).alias("Failed")
+        ).alias("Task Info"),
+        F.struct(
+            (F.col("l_quantity") * 900).cast("bigint").alias("Executor Run Time"),
+            (F.col("key") % 1000).alias("Disk Bytes Spilled"),
+            F.struct(
+                F.when(odd, F.floor("l_extendedprice")).otherwise(0).cast("bigint").alias("Remote Bytes Read"),
+                F.when(odd, F.col("l_partkey")).otherwise(0).alias("Local Bytes Read"),
+                F.col("l_suppkey").alias("Total Records Read"),
+            ).alias("Shuffle Read Metrics"),
+        ).alias("Task Metrics"),
+    )
+    info = F.col("Task Info")
+    stages = tasks.groupBy("log", "Stage ID").agg(
+        F.lit("SparkListenerStageCompleted").alias("Event"),
+        F.struct(
+            F.col("Stage ID"),
+            F.lit("stage").alias("Stage Name"),
+            F.count(F.lit(1)).cast("int").alias("Number of Tasks"),
+            F.min(info["Launch Time"]).alias("Submission Time"),
+            F.max(info["Finish Time"]).alias("Completion Time"),
+        ).alias("Stage Info"),
+    )
+    ends = F.explode(
+        F.array(
+            F.struct(F.lit("SparkListenerApplicationStart").alias("Event"), F.col("lo").alias("t")),
+            F.struct(F.lit("SparkListenerApplicationEnd").alias("Event"), F.col("hi").alias("t")),
+        )
+    )
+    app = (
+        tasks.groupBy("log")
+        .agg(F.min(info["Launch Time"]).alias("lo"), F.max(info["Finish Time"]).alias("hi"))
+        .select("log", ends.alias("e"))
+        .select("log", F.col("e.Event").alias("Event"), F.col("e.t").alias("Timestamp"))
+    )
+    events = tasks.unionByName(stages.drop("Stage ID"), allowMissingColumns=True)
+    events = events.unionByName(app, allowMissingColumns=True)
+    missing = [f for f in schema.fields if f.name not in events.columns]
+    return events.withColumns({f.name: F.lit(None).cast(f.dataType) for f in missing})
+
+
+def eventlog_profile(spark: SparkSession, sf: str) -> DataFrame:
+    return eventlog.run_profile(task_events(spark, sf))
+
+
+def eventlog_stages(spark: SparkSession, sf: str) -> DataFrame:
+    return eventlog.stage_metrics(task_events(spark, sf))
+
+
+def eventlog_task_distribution(spark: SparkSession, sf: str) -> DataFrame:
+    return eventlog.task_distribution(task_events(spark, sf))
+
+
+QUERIES = {f.__name__: f for f in (eventlog_profile, eventlog_stages, eventlog_task_distribution)}
+
+TASKS_SQL = f"""{LINES_SQL},
+tasks AS (SELECT l_returnflag AS log, CAST(l_linenumber AS BIGINT) AS stage_id,
+  {START_MS} + key % 100000 AS launch, {START_MS} + key % 100000 + CAST(l_quantity * 1000 AS BIGINT) AS finish,
+  l_quantity AS seconds, CAST(l_quantity * 900 AS BIGINT) AS run_ms, key % 1000 AS spill_bytes,
+  CASE WHEN l_linenumber % 2 = 1 THEN CAST(floor(l_extendedprice) AS BIGINT) + l_partkey ELSE 0 END AS shuffle_bytes,
+  l_suppkey AS shuffle_records FROM lines),
+metrics AS (SELECT log, stage_id, count(*) AS task_count, CAST(sum(shuffle_bytes) AS BIGINT) AS shuffle_bytes,
+  max(seconds) AS slowest, min(seconds) AS fastest, round(max(seconds) / min(seconds), 2) AS task_skew,
+  min(launch) AS lo, max(finish) AS hi FROM tasks GROUP BY 1, 2),
+heavy AS (SELECT * FROM metrics WHERE task_count >= {eventlog.MIN_TASKS} AND shuffle_bytes > 0
+  QUALIFY row_number() OVER (PARTITION BY log ORDER BY shuffle_bytes DESC, stage_id DESC) = 1)"""
+
+_POINTS = " UNION ALL ".join(
+    f"SELECT t.log, '{m}' AS measure, CAST({q} AS DOUBLE) AS quantile, CAST(quantile_disc({m}, {q}) AS BIGINT) AS value FROM t GROUP BY t.log"
+    for m in ("run_ms", "shuffle_bytes", "shuffle_records", "spill_bytes")
+    for q in eventlog.QUANTILES
+)
+
+ORACLES = {
+    "eventlog_profile": f"""WITH {TASKS_SQL},
+app AS (SELECT log, round(CAST(max(finish) - min(launch) AS DOUBLE) / 1000, 2) AS spark_app_seconds FROM tasks GROUP BY 1)
+SELECT app.log, spark_app_seconds, round(CAST(hi - lo AS DOUBLE) / 1000, 2) AS shuffle_stage_seconds,
+  task_skew AS shuffle_task_skew_ratio, task_count AS shuffle_stage_tasks FROM app LEFT JOIN heavy ON app.log = heavy.log""",
+    "eventlog_stages": f"""WITH {TASKS_SQL}
+SELECT log, stage_id, task_count, shuffle_bytes, slowest, fastest, task_skew FROM metrics""",
+    "eventlog_task_distribution": f"""WITH {TASKS_SQL},
+t AS (SELECT tasks.* FROM tasks JOIN heavy ON tasks.log = heavy.log AND tasks.stage_id = heavy.stage_id)
+{_POINTS}""",
+}
