@@ -84,6 +84,17 @@ LINE_KEY_SQL = "((l_orderkey * 8 + l_linenumber) * 7919 + l_partkey % 7919)"
 LINES_SQL = f"lines AS (SELECT *, {LINE_KEY_SQL} AS key FROM lineitem)"
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Use all cores on a table with fewer file splits than cores.
+
+    Deriving codes costs more CPU than reading, and a small table is one split. Hashing
+    on the key gives the same placement after a retry. A table with splits enough, as any
+    large one, is left where it was read.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").withColumn("key", line_key())
 
@@ -158,11 +169,14 @@ CONTRIBUTION_SQL = (
 
 def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One payment per line item over its extended price; 75 % share one pricing key."""
-    keyed = lines(spark, sf_dir)
-    made = pay.payments(keyed, hot_share=HOT_SHARE, keep=("l_extendedprice",))
+    made = pay.payments(payment_keys(spark, sf_dir), hot_share=HOT_SHARE, keep=("l_extendedprice",))
     return made.withColumn("amount", F.col("l_extendedprice")).drop("l_extendedprice")
 
 
+def payment_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(lines(spark, sf_dir).select("key", "l_extendedprice"), "key")
+
+
 _P = pay.STREAMS
 _HOT_LIMIT = int(pay.hot_key_probability(HOT_SHARE) * pay.MILLION)
 _FORCED = f"u_hot % {pay.MILLION} < {_HOT_LIMIT}"

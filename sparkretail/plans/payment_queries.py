@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkretail.functions.dates import month_text
+from sparkretail.functions.draws import fenced
 from sparkretail.operators import manifest, pricing, settlement
 from sparkretail.plans import derive
 from sparkretail.plans.derive import PAYMENTS_SQL, PRICED_SQL
@@ -122,7 +123,7 @@ def payments_profile(spark: SparkSession, sf: str) -> DataFrame:
 
 def payment_amounts(spark: SparkSession, sf: str) -> DataFrame:
     """Amounts as the generator draws them (log-normal cents), per currency."""
-    made = pay.payments(derive.lines(spark, sf).select("key"), hot_mcc_share=0.9, wide=False)
+    made = pay.payments(derive.payment_keys(spark, sf), hot_mcc_share=0.9, wide=False)
     return made.groupBy("currency_code").agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.count_if(F.col("mcc") == ref.HOT_KEY[0]).alias("hot_mcc"),
@@ -133,13 +134,13 @@ def payment_amounts(spark: SparkSession, sf: str) -> DataFrame:
 
 def invalid_cards(spark: SparkSession, sf: str) -> DataFrame:
     """Card numbers with a broken check digit in every fiftieth row, counted per country."""
-    keyed = derive.lines(spark, sf)
-    fact = pay.payments(keyed, hot_share=derive.HOT_SHARE, keep=("key",))
+    keyed = derive.payment_keys(spark, sf)
+    made = pay.payments(keyed, hot_share=derive.HOT_SHARE, keep=("key",))
+    fact = fenced(made.select("key", "country_code", "card_number"), {"card_number": F.col("card_number")})
     digit = F.substring("card_number", -1, 1).cast("int")
     broken = F.concat(F.substring("card_number", 1, 15), ((digit + 1) % 10).cast("string"))
-    spoiled = fact.withColumn(
-        "card_number", F.when(F.col("key") % 50 == 0, broken).otherwise(F.col("card_number"))
-    )
+    number = F.when(F.col("key") % 50 == 0, broken).otherwise(F.col("card_number"))
+    spoiled = fenced(fact, {"card_number": number})
     return manifest.invalid_cards(spoiled, ["country_code"])
 
 

@@ -41,7 +41,7 @@ def _sales(spark: SparkSession, sf: str) -> DataFrame:
 
 def _dirty(spark: SparkSession, sf: str, keep_kind: bool = False) -> DataFrame:
     # The cleaning rules expect a completed sale unless a defect says otherwise.
-    completed = _sales(spark, sf).withColumn("status", F.lit("COMPLETED"))
+    completed = derive.spread(_sales(spark, sf), "key").withColumn("status", F.lit("COMPLETED"))
     return synth.plant_dirt(completed, "key", DIRT_RATE, seed=SEED, keep_kind=keep_kind)
 
 
@@ -56,7 +56,7 @@ kinds AS (SELECT *, CASE WHEN {_IS_DIRTY} THEN {sql_pick("u_kind", synth.DIRT_KI
 dirty AS (SELECT key, txn_id, kind, store_id, unit_price,
   CASE WHEN kind = 'null_product_id' THEN NULL ELSE product_id END AS product_id,
   CASE kind WHEN 'qty_zero' THEN 0 WHEN 'qty_100' THEN 100
-    WHEN 'qty_negative' THEN CASE WHEN u_value % 2 = 0 THEN -1 ELSE -5 END
+    WHEN 'qty_negative' THEN CASE WHEN u_value % 2 = 0 THEN -5 ELSE -1 END
     WHEN 'qty_over' THEN u_value % 400 + 101 ELSE quantity END AS quantity,
   CASE WHEN kind = 'null_discount' THEN NULL ELSE discount_pct END AS discount_pct,
   CASE kind WHEN 'currency_usd_alias' THEN 'usd' WHEN 'currency_dollar' THEN '$'

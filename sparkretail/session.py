@@ -15,6 +15,8 @@ BASE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Call-site capture costs two JVM calls per column expression while a plan is built.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 PROFILES = {

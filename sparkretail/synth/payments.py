@@ -9,7 +9,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkretail.functions.cards import luhn_digit
-from sparkretail.functions.draws import pick, pick_weighted, uniform, with_draws
+from sparkretail.functions.draws import (
+    constant_list,
+    constant_map,
+    pick,
+    pick_weighted,
+    uniform,
+    with_draws,
+)
 from sparkretail.operators.pricing import SCHEDULE_EPOCH, SCHEDULE_STEP_DAYS
 from sparkretail.synth import reference_data as ref
 
@@ -46,11 +53,6 @@ def hot_key_probability(target: float, hot_mcc_share: float | None = None) -> fl
     return (target - base) / (1 - base)
 
 
-def _lookup(value: Column, mapping: dict[str, str]) -> Column:
-    pairs = [F.lit(x) for kv in mapping.items() for x in kv]
-    return F.element_at(F.create_map(*pairs), value)
-
-
 def padded(number: Column, width: int) -> Column:
     """Zero-padded to at least ``width`` digits; longer numbers stay whole."""
     text = number.cast("string")
@@ -117,7 +119,7 @@ def payments(
             F.lit(FIRST_TS).cast("timestamp_ntz"),
         ),
         "amount": (cents / F.lit(100.0)).cast("decimal(14,2)"),
-        "currency_code": _lookup(F.col("country_code"), ref.COUNTRY_CURRENCY),
+        "currency_code": F.element_at(constant_map(ref.COUNTRY_CURRENCY), F.col("country_code")),
         "country_code": F.col("country_code"),
         "mcc": F.col("mcc"),
         "merchant_id": F.concat(F.lit("MID"), padded(u["u_merchant"] % 49_999 + 1, 7)),
@@ -161,7 +163,8 @@ def rate_card(
         return (F.floor(n / below) % size).cast("int")
 
     def at(values: list, index: Column) -> Column:
-        return F.element_at(F.array(*[F.lit(v) for v in values]), index + 1)
+        type_ = "int" if isinstance(values[0], int) else "string"
+        return F.element_at(constant_list(values, type_), index + 1)
 
     indexed = spark.range(weeks * per_week).select(
         (n + 1).alias("number"),

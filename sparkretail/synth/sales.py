@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkretail.functions.draws import pick, with_draws
+from sparkretail.functions.draws import constant_map, fenced, pick, with_draws
 from sparkretail.synth.reference_data import (
     NOT_COMPLETED,
     SALES_CHANNELS,
@@ -118,47 +118,45 @@ def plant_dirt(
     drawn = with_draws(rows, key, streams).withColumn("kind", name)
     kind, value = F.col("kind"), F.col("u_value")
 
-    def on(column: str, changes: dict[str, Column]) -> Column:
-        out = F.col(column)
-        for k, v in changes.items():
-            out = F.when(kind == k, v.cast(rows.schema[column].dataType)).otherwise(out)
-        return out
-
-    null = F.lit(None)
-    spoiled = drawn.withColumns(
-        {
-            "product_id": on("product_id", {"null_product_id": null}),
-            "quantity": on(
-                "quantity",
-                {
-                    "qty_zero": F.lit(0),
-                    "qty_100": F.lit(100),
-                    "qty_negative": F.when(value % 2 == 0, -1).otherwise(-5),
-                    "qty_over": value % 400 + 101,
-                },
-            ),
-            "discount_pct": on("discount_pct", {"null_discount": null}),
-            "currency": on(
-                "currency",
-                {
-                    "currency_usd_alias": F.lit("usd"),
-                    "currency_dollar": F.lit("$"),
-                    "currency_null": null,
-                    "currency_inr": F.lit("INR"),
-                },
-            ),
-            "status": on(
-                "status",
-                {
-                    "status_complete_alias": F.lit("complete"),
-                    "status_Complete": F.lit("Complete"),
-                    "status_cancelled": F.lit("CANCELLED"),
-                    "status_pending": F.lit("PENDING"),
-                },
-            ),
-        }
-    )
-    spoiled = spoiled.drop(*streams)
+    def on(column: str, changes: dict[str, object]) -> Column:
+        """The value a kind maps to, else the old one. One lookup instead of a chain of
+        comparisons: the defect's name is itself a long expression."""
+        type_ = rows.schema[column].dataType
+        old = F.col(column)
+        fixed = {k: v for k, v in changes.items() if v is not None}
+        if fixed:
+            old = F.coalesce(F.element_at(constant_map(fixed), kind).cast(type_), old)
+        for k in changes.keys() - fixed.keys():
+            old = F.when(kind.eqNullSafe(k), F.lit(None).cast(type_)).otherwise(old)
+        return old
+
+    drawn_quantity = F.when(
+        kind == "qty_over", (value % 400 + 101).cast("int")
+    ).when(kind == "qty_negative", (value % 2 * 4 - 5).cast("int"))
+    changed = {
+        "product_id": on("product_id", {"null_product_id": None}),
+        "quantity": F.coalesce(drawn_quantity, on("quantity", {"qty_zero": 0, "qty_100": 100})),
+        "discount_pct": on("discount_pct", {"null_discount": None}),
+        "currency": on(
+            "currency",
+            {
+                "currency_usd_alias": "usd",
+                "currency_dollar": "$",
+                "currency_inr": "INR",
+                "currency_null": None,
+            },
+        ),
+        "status": on(
+            "status",
+            {
+                "status_complete_alias": "complete",
+                "status_Complete": "Complete",
+                "status_cancelled": "CANCELLED",
+                "status_pending": "PENDING",
+            },
+        ),
+    }
+    spoiled = fenced(drawn, changed).select(*rows.columns, "kind")
     return spoiled if keep_kind else spoiled.drop("kind")
 
 
