@@ -105,7 +105,8 @@ def _salted(fact: DataFrame, rates: DataFrame, buckets: int) -> DataFrame:
     return _valid(joined).drop(_SALT)
 
 
-def _is_key(values: Sequence[str]) -> Column:
+def is_key(values: Sequence[str]) -> Column:
+    """The row has this (category, country, entry mode)."""
     return reduce(lambda a, b: a & b, [F.col(k) == v for k, v in zip(KEYS, values)])
 
 
@@ -117,7 +118,7 @@ def _isolated(
         hot = [tuple(row) for row in hot_keys(fact.dropna(subset=KEYS), KEYS).collect()]
     if not hot:
         return _valid(fact.join(rates.hint("merge"), KEYS))
-    is_hot = reduce(lambda a, b: a | b, [_is_key(v) for v in hot])
+    is_hot = reduce(lambda a, b: a | b, [is_key(v) for v in hot])
     hot_fact, cold_fact = split_on(fact, is_hot)
     hot_rates, cold_rates = split_on(rates, is_hot)
     if fits_broadcast(hot_rates, max_bytes):

@@ -167,10 +167,20 @@ CONTRIBUTION_SQL = (
 # ---- Card payments --------------------------------------------------------------------
 
 
-def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
+PRICING_COLUMNS = ("txn_id", "txn_ts", "mcc", "country_code", "entry_mode", "response_code")
+
+
+def payments(
+    spark: SparkSession, sf_dir: str, columns: tuple[str, ...] = PRICING_COLUMNS
+) -> DataFrame:
     """One payment per line item over its extended price; 75 % share one pricing key."""
-    made = pay.payments(payment_keys(spark, sf_dir), hot_share=HOT_SHARE, keep=("l_extendedprice",))
-    return made.withColumn("amount", F.col("l_extendedprice")).drop("l_extendedprice")
+    made = pay.payments(
+        payment_keys(spark, sf_dir),
+        hot_share=HOT_SHARE,
+        keep=("l_extendedprice",),
+        columns=columns,
+    )
+    return made.withColumnRenamed("l_extendedprice", "amount")
 
 
 def payment_keys(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -109,8 +109,12 @@ def partitioned_layout(spark: SparkSession, sf: str) -> DataFrame:
 
 def payments_profile(spark: SparkSession, sf: str) -> DataFrame:
     """Shares the generator promises: hot key, approvals, cross-border, settled."""
-    fact = derive.payments(spark, sf)
-    is_hot = pricing._is_key(ref.HOT_KEY)
+    columns = (
+        "channel", "mcc", "country_code", "entry_mode", "response_code", "merchant_country",
+        "settled", "auth_code",
+    )
+    fact = derive.payments(spark, sf, columns)
+    is_hot = pricing.is_key(ref.HOT_KEY)
     return fact.groupBy("channel").agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.count_if(is_hot).alias("hot_key"),
@@ -135,8 +139,10 @@ def payment_amounts(spark: SparkSession, sf: str) -> DataFrame:
 def invalid_cards(spark: SparkSession, sf: str) -> DataFrame:
     """Card numbers with a broken check digit in every fiftieth row, counted per country."""
     keyed = derive.payment_keys(spark, sf)
-    made = pay.payments(keyed, hot_share=derive.HOT_SHARE, keep=("key",))
-    fact = fenced(made.select("key", "country_code", "card_number"), {"card_number": F.col("card_number")})
+    made = pay.payments(
+        keyed, hot_share=derive.HOT_SHARE, keep=("key",), columns=("country_code", "card_number")
+    )
+    fact = fenced(made, {"card_number": F.col("card_number")})
     digit = F.substring("card_number", -1, 1).cast("int")
     broken = F.concat(F.substring("card_number", 1, 15), ((digit + 1) % 10).cast("string"))
     number = F.when(F.col("key") % 50 == 0, broken).otherwise(F.col("card_number"))

@@ -71,76 +71,76 @@ def payments(
     hot_mcc_share: float | None = None,
     wide: bool = True,
     keep: tuple[str, ...] = (),
+    columns: tuple[str, ...] | None = None,
 ) -> DataFrame:
     """One card payment per row of ``keys``.
 
     ``hot_mcc_share`` puts that share on one merchant category, ``hot_share`` puts that
     share on one (category, country, entry mode) key. ``keep`` carries columns of
-    ``keys`` along.
+    ``keys`` along; ``columns`` limits the payment columns that are built at all.
     """
     u = {name: F.col(name) for name in STREAMS}
-    drawn = with_draws(keys, "key", STREAMS)
 
-    mcc = pick(u["u_mcc"], [m[0] for m in ref.MCCS])
-    if hot_mcc_share is not None:
+    def mcc() -> Column:
+        if hot_mcc_share is None:
+            return forced(ref.HOT_KEY[0], pick(u["u_mcc"], [m[0] for m in ref.MCCS]))
         others = [m[0] for m in ref.MCCS if m[0] != ref.HOT_KEY[0]]
-        mcc = F.when(
-            u["u_hot_mcc"] % MILLION < int(hot_mcc_share * MILLION), ref.HOT_KEY[0]
-        ).otherwise(pick(u["u_mcc"], others))
-    country = pick_weighted(u["u_country"], ref.COUNTRY_WEIGHTS)
-    entry = pick_weighted(u["u_entry"], ref.ENTRY_WEIGHTS)
-    if hot_share is not None:
-        force = u["u_hot"] % MILLION < int(hot_key_probability(hot_share, hot_mcc_share) * MILLION)
-        mcc, country, entry = (
-            F.when(force, hot).otherwise(drawn_value)
-            for hot, drawn_value in zip(ref.HOT_KEY, (mcc, country, entry))
+        hot = u["u_hot_mcc"] % MILLION < int(hot_mcc_share * MILLION)
+        return forced(ref.HOT_KEY[0], F.when(hot, ref.HOT_KEY[0]).otherwise(pick(u["u_mcc"], others)))
+
+    def forced(hot: str, drawn: Column) -> Column:
+        if hot_share is None:
+            return drawn
+        limit = int(hot_key_probability(hot_share, hot_mcc_share) * MILLION)
+        return F.when(u["u_hot"] % MILLION < limit, hot).otherwise(drawn)
+
+    def amount() -> Column:
+        normal = F.sqrt(F.lit(-2.0) * F.log(uniform(u["u_n1"]))) * F.cos(
+            F.lit(2 * math.pi) * uniform(u["u_n2"])
         )
-    normal = F.sqrt(F.lit(-2.0) * F.log(uniform(u["u_n1"]))) * F.cos(
-        F.lit(2 * math.pi) * uniform(u["u_n2"])
-    )
-    cents = F.least(
-        F.greatest(F.floor(F.exp(F.lit(6.5) + F.lit(1.1) * normal)), F.lit(1)), F.lit(5 * MILLION)
-    )
-    # Key columns first: later columns look at them.
-    base = drawn.withColumns(
-        {
-            "mcc": mcc,
-            "country_code": country,
-            "entry_mode": entry,
-            "response_code": pick_weighted(u["u_response"], ref.RESPONSE_WEIGHTS),
-        }
-    )
-    approved = F.col("response_code") == "00"
-    columns = {
-        "txn_id": F.concat(F.lit("TXN"), padded(F.col("key"), 12)),
-        "txn_ts": F.timestamp_add(
-            "SECOND",
-            (u["u_sec"] % (FACT_DAYS * 86_400)).cast("int"),
-            F.lit(FIRST_TS).cast("timestamp_ntz"),
-        ),
-        "amount": (cents / F.lit(100.0)).cast("decimal(14,2)"),
-        "currency_code": F.element_at(constant_map(ref.COUNTRY_CURRENCY), F.col("country_code")),
-        "country_code": F.col("country_code"),
-        "mcc": F.col("mcc"),
-        "merchant_id": F.concat(F.lit("MID"), padded(u["u_merchant"] % 49_999 + 1, 7)),
-        "acquirer_bin": pick(u["u_acquirer"], [a[0] for a in ref.ACQUIRERS]),
-        "response_code": F.col("response_code"),
-        "entry_mode": F.col("entry_mode"),
-        "channel": pick_weighted(u["u_channel"], ref.PAYMENT_CHANNELS),
+        cents = F.floor(F.exp(F.lit(6.5) + F.lit(1.1) * normal))
+        bounded = F.least(F.greatest(cents, F.lit(1)), F.lit(5 * MILLION))
+        return (bounded / F.lit(100.0)).cast("decimal(14,2)")
+
+    def txn_ts() -> Column:
+        second = (u["u_sec"] % (FACT_DAYS * 86_400)).cast("int")
+        return F.timestamp_add("SECOND", second, F.lit(FIRST_TS).cast("timestamp_ntz"))
+
+    def merchant_country() -> Column:
+        other = pick(u["u_alt"], [c[0] for c in ref.COUNTRIES])
+        return F.when(u["u_cross"] % 100 < 12, other).otherwise(country)
+
+    country, approved = F.col("country_code"), F.col("response_code") == "00"
+    # Other columns look at these two, so they are built first.
+    first = {
+        "country_code": lambda: forced(ref.HOT_KEY[1], pick_weighted(u["u_country"], ref.COUNTRY_WEIGHTS)),
+        "response_code": lambda: pick_weighted(u["u_response"], ref.RESPONSE_WEIGHTS),
+    }
+    build = {
+        "txn_id": lambda: F.concat(F.lit("TXN"), padded(F.col("key"), 12)),
+        "txn_ts": txn_ts,
+        "amount": amount,
+        "currency_code": lambda: F.element_at(constant_map(ref.COUNTRY_CURRENCY), country),
+        "country_code": lambda: country,
+        "mcc": mcc,
+        "merchant_id": lambda: F.concat(F.lit("MID"), padded(u["u_merchant"] % 49_999 + 1, 7)),
+        "acquirer_bin": lambda: pick(u["u_acquirer"], [a[0] for a in ref.ACQUIRERS]),
+        "response_code": lambda: F.col("response_code"),
+        "entry_mode": lambda: forced(ref.HOT_KEY[2], pick_weighted(u["u_entry"], ref.ENTRY_WEIGHTS)),
+        "channel": lambda: pick_weighted(u["u_channel"], ref.PAYMENT_CHANNELS),
     }
     if wide:
-        abroad = u["u_cross"] % 100 < 12
-        columns |= {
-            "card_number": card_number(u["u_card"] % CARD_POOL),
-            "merchant_country": F.when(
-                abroad, pick(u["u_alt"], [c[0] for c in ref.COUNTRIES])
-            ).otherwise(F.col("country_code")),
-            "auth_code": F.when(approved, padded(u["u_auth"] % MILLION, 6)).otherwise(""),
-            "settled": approved & (u["u_settled"] % 100 < 94),
+        build |= {
+            "card_number": lambda: card_number(u["u_card"] % CARD_POOL),
+            "merchant_country": merchant_country,
+            "auth_code": lambda: F.when(approved, padded(u["u_auth"] % MILLION, 6)).otherwise(""),
+            "settled": lambda: approved & (u["u_settled"] % 100 < 94),
         }
     else:
-        columns["card_token"] = F.concat(F.lit("tok_"), padded(u["u_card"] % CARD_POOL + 1, 8))
-    return base.select(*[c.alias(name) for name, c in columns.items()], *keep)
+        build["card_token"] = lambda: F.concat(F.lit("tok_"), padded(u["u_card"] % CARD_POOL + 1, 8))
+    wanted = columns or tuple(build)
+    base = with_draws(keys, "key", STREAMS).withColumns({n: make() for n, make in first.items()})
+    return base.select(*[build[n]().alias(n) for n in wanted], *keep)
 
 
 def rate_card(

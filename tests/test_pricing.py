@@ -205,7 +205,7 @@ def test_settlement_groups_use_every_schedule_of_the_half_year(spark, rates):
 
 def test_payments_generator(spark):
     wide = pay.payments(key_range(spark, 40_000), hot_share=0.75).persist()
-    hot = wide.filter(pricing._is_key(ref.HOT_KEY)).count() / 40_000
+    hot = wide.filter(pricing.is_key(ref.HOT_KEY)).count() / 40_000
     approved = wide.filter("response_code = '00'")
     assert abs(hot - 0.75) < 0.01
     assert abs(approved.count() / 40_000 - 0.88) < 0.01

@@ -8,7 +8,9 @@ import pytest
 from conftest import collect
 from pyspark.sql import functions as F
 
+from sparkretail.functions import dates
 from sparkretail.operators import aggregates, clean, compare, manifest, matching, ordering, windows
+from sparkretail.sources.readers import plan_text
 from sparkretail.synth import sales as synth
 
 
@@ -178,6 +180,32 @@ def test_latest_version_with_ties(spark):
     assert [r[:2] for r in collect(windows.current_catalog(rows))] == [(1, "a"), (2, "z")]
 
 
+def test_latest_version_is_limited_before_the_shuffle(spark, sf):
+    orders = spark.read.parquet(f"{sf}/orders.parquet")
+    text = plan_text(windows.latest_per_key(orders, ["o_custkey"], [F.col("o_orderkey").desc()]), "simple")
+    partial = text.rindex("WindowGroupLimit")
+    assert text.index("WindowGroupLimit") < text.index("Exchange hashpartitioning") < partial
+
+
+def test_cleaning_and_revenue_do_not_shuffle(spark, tmp_path):
+    path = str(tmp_path / "sales")
+    synth.sales(synth.key_range(spark, 1_000)).write.parquet(path)
+    sales = spark.read.parquet(path)
+    for df_ in (clean.clean(sales), clean.valid_line_revenue(sales), clean.add_line_revenue(sales)):
+        assert "Exchange" not in plan_text(df_)
+    text = plan_text(aggregates.store_rollup(sales))
+    assert "EqualTo(channel,POS)" in text and "EqualTo(status,COMPLETED)" in text
+    scan = next(line for line in text.splitlines() if line.startswith("ReadSchema"))
+    assert "customer_id" not in scan and "event_ts" not in scan
+
+
+def test_schedule_periods(spark):
+    days = spark.sql("SELECT explode(sequence(DATE '2023-12-25', DATE '2024-01-22')) AS d")
+    epoch = dt.date(2024, 1, 1)
+    for d, n, start in days.select("d", dates.period_index(F.col("d"), epoch, 7), dates.period_start(F.col("d"), epoch, 7)).collect():
+        assert n == (d - epoch).days // 7 and start == epoch + dt.timedelta(days=7 * n)
+
+
 def test_overlapping_versions(spark):
     d = lambda n: dt.date(2024, 1, n)
     schema = "k STRING, effective_from DATE, effective_to DATE"
