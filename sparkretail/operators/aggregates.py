@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -152,16 +153,17 @@ def customer_totals(
             F.max("_cents").alias("hi"),
         )
     )
-    n = F.sum("n")
-    total = F.sum("cents").cast("decimal(34,0)")
+    n = F.sum("n").cast("decimal(18,0)")
+    total = F.sum("cents").cast("decimal(30,0)")
+    # Half-up on whole numbers: (2 total + n) div 2n, mirrored below zero.
+    doubled = total * F.lit(Decimal(2)) + F.when(total < 0, -n).otherwise(n)
+    mean = F.call_function("div", doubled, n * F.lit(Decimal(2)))
     return partial.groupBy(key).agg(
-        n.alias("txn_count"),
+        F.sum("n").alias("txn_count"),
         money_total(total, precision).alias("total_amount"),
         as_money(F.min("lo"), precision).alias("min_amount"),
         as_money(F.max("hi"), precision).alias("max_amount"),
-        as_money(F.round(total.cast("decimal(28,0)") / n.cast("decimal(10,0)")), precision).alias(
-            "avg_amount"
-        ),
+        as_money(mean, precision).alias("avg_amount"),
     )
 
 

@@ -204,9 +204,7 @@ def rate_card(
         F.concat(
             at([x[1] for x in ref.COUNTRIES], c), F.lit(" "),
             F.initcap(F.replace(category, F.lit("_"), F.lit(" "))), F.lit(" "), entry,
-            F.lit(" programme, week "), padded(w, 2),
-            F.lit(" effective schedule — settlement interchange published by scheme"
-                  " for acquirer billing and reconciliation"),
+            F.lit(ref.PROGRAM_WEEK), padded(w, 2), F.lit(ref.PROGRAM_PURPOSE),
         ).alias("program_name"),
     )
 

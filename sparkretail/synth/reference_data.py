@@ -151,6 +151,13 @@ ENTRY_BPS = {
 }
 RISK_BPS = {"low": 0, "medium": 12, "high": 30}
 
+# Programme names: country, category, entry mode, then these two texts around the week.
+PROGRAM_WEEK = " programme, week "
+PROGRAM_PURPOSE = (
+    " effective schedule — settlement interchange published by scheme for acquirer billing"
+    " and reconciliation"
+)
+
 # Sampling weights. Countries: five named shares, the other twenty split 41 % evenly.
 COUNTRY_WEIGHTS = [
     (code, {"US": 2800, "CA": 600, "GB": 1000, "DE": 800, "FR": 700}.get(code, 205))

@@ -213,6 +213,27 @@ def test_event_log_of_this_session(spark, log_dir, tmp_path):
     assert [r.quantile for r in sorted(dist, key=lambda r: r["quantile"])] == eventlog.QUANTILES
 
 
+def test_rolled_event_log_is_one_run(spark, tmp_path):
+    def line(**fields):
+        return json.dumps(fields)
+
+    task = lambda s, ms: line(
+        Event="SparkListenerTaskEnd", **{"Stage ID": s, "Task Info": {"Launch Time": 0, "Finish Time": ms},
+        "Task Metrics": {"Shuffle Read Metrics": {"Remote Bytes Read": 10, "Local Bytes Read": 5}}},
+    )
+    folder = tmp_path / "eventlog_v2_app-7"
+    folder.mkdir()
+    start = line(Event="SparkListenerApplicationStart", Timestamp=1_000)
+    (folder / "events_1_app-7").write_text("\n".join([start, task(1, 100), task(1, 200), task(1, 1)]) + "\n")
+    end = line(Event="SparkListenerApplicationEnd", Timestamp=3_500)
+    (folder / "events_2_app-7").write_text("\n".join([task(1, 800), task(2, 5), end]) + "\n")
+    events = eventlog.read_event_log(spark, str(folder))
+    row = eventlog.run_profile(events).first()
+    # The one-millisecond task does not count for the ratio, the two-task stage not at all.
+    assert (row.log, row.spark_app_seconds, row.shuffle_task_skew_ratio) == ("eventlog_v2_app-7", 2.5, 8.0)
+    assert eventlog.heaviest_shuffle_stage(events).first().shuffle_bytes == 60
+
+
 def test_fresh_paths_lie_in_the_shared_folder(spark):
     shared = spark.conf.get("spark.checkpoint.dir")
     a, b = fresh_path(spark, "x"), fresh_path(spark, "x")

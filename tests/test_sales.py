@@ -237,6 +237,12 @@ def test_customer_totals_match_plain_grouping(spark):
     assert collect(got) == collect(want)
 
 
+def test_customer_mean_rounds_half_away_from_zero(spark):
+    tx = df(spark, "txn_id STRING, c STRING, cents BIGINT", ("1", "a", 1), ("2", "a", 2), ("3", "b", -1), ("4", "b", -2), ("5", "z", 0))
+    got = aggregates.customer_totals(tx, "c", F.col("cents"), "txn_id").select("c", "avg_amount")
+    assert collect(got) == [("a", D("0.02")), ("b", D("-0.02")), ("z", D("0.00"))]
+
+
 def test_run_statistics_skip_failed_and_missing(spark):
     runs = df(
         spark, "variant STRING, terminal_state STRING, wall DOUBLE, skew DOUBLE",
