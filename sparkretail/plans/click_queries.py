@@ -113,9 +113,8 @@ def enriched_clicks(spark: SparkSession, sf: str) -> DataFrame:
     drawn = with_draws(derive.lines(spark, sf), "key", CLICK_STREAMS)
     events = drawn.select(
         F.col("key").alias("event_id"),
-        F.when(F.col("u_orphan") % 100 < 4, F.lit(-1))
+        F.when(F.col("u_orphan") % 100 < 4, F.lit(-1).cast("bigint"))
         .otherwise(F.col("l_partkey"))
-        .cast("int")
         .alias("product_id"),
         pick(F.col("u_type"), ref.CLICK_TYPES).alias("event_type"),
         F.col("l_extendedprice").alias("amount"),

@@ -120,7 +120,7 @@ def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("T"), F.col("key").cast("string")).alias("txn_id"),
         F.col("l_suppkey").cast("int").alias("store_id"),
         F.col("l_linenumber").alias("register_id"),
-        F.col("l_partkey").cast("int").alias("product_id"),
+        F.col("l_partkey").alias("product_id"),
         (u["u_customer"] % 50_000 + 1).cast("int").alias("customer_id"),
         F.col("l_quantity").cast("int").alias("quantity"),
         F.col("l_extendedprice").alias("unit_price"),

@@ -208,7 +208,7 @@ def hash_sample(spark: SparkSession, sf: str) -> DataFrame:
 def _known_parts(spark: SparkSession, sf: str) -> DataFrame:
     # Every line has a part; keeping the small parts makes orphans.
     return table(spark, sf, "part").filter(F.col("p_size") <= 25).select(
-        F.col("p_partkey").cast("int").alias("product_id"), F.col("p_name").alias("product_name")
+        F.col("p_partkey").alias("product_id"), F.col("p_name").alias("product_name")
     )
 
 

@@ -25,7 +25,8 @@ def catalog(
     payload_chars: int = 8,
     seed: int = 42,
 ) -> DataFrame:
-    """Append-only version history of every ``product_id`` in ``products``.
+    """Append-only version history of every ``product_id`` in ``products``, whose integer
+    type it keeps.
 
     Versions are a week apart; ``tie_rate`` of the products get a second row on the last
     day. Versions and ties are unrolled from one list per product.
@@ -47,7 +48,7 @@ def catalog(
     tie, n = F.col("is_tie"), F.col("n")
     current = pick(pid, ref.CATEGORIES)
     return rows.select(
-        pid.cast("int").alias("product_id"),
+        pid,
         F.concat(
             F.lit("sku-"), padded(pid, 8),
             F.when(tie, "-alt").otherwise(F.concat(F.lit("-v"), padded(n, 3))),
