@@ -42,15 +42,13 @@ TOKENS_PER_BUCKET = 2_000_000
 LEAST_BUCKETS = 48
 FLUSH = 1_000_000  # shingles held by a scan task before it hands them on
 BLOCK = 512  # rows of each side in a block of left-over comparisons
+BROADCAST_ROWS = 500_000  # rows to drop (16 bytes each) that are sent to all tasks; beyond, a shuffled join
 COSTED_SEGMENTS = 4096  # bands with more segments (sets above 10,000 shingles) keep the plain order
 LOW = U64((1 << 40) - 1)
 
-SCAN = (
-    "bucket int, doc_id long, key long, cid long, n int, tokens binary, cids binary, counts binary"
-)
-COUNTED = (
-    "bucket int, doc_id long, key long, cid long, n int, shared int, weight double, tokens binary"
-)
+ROWS = "doc_id long, key long, cid long, n int"
+SCAN = "bucket int, tokens binary, cids binary, counts binary"
+COUNTED = "bucket int, cid long, shared int, weight double, tokens binary"
 ALIVE = "cid long, n int, shared int, centre double, tokens array<bigint>, dfs binary"
 
 
@@ -71,23 +69,37 @@ def _binary(data: np.ndarray, sizes: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), len(sizes), buffers)
 
 
-def _scan(buckets: int, width: int):
-    """Class ids of documents, and the shingles of each class by bucket."""
+def _sets(column: pa.Array, width: int) -> Iterator[tuple[np.ndarray, int | None]]:
+    """The distinct shingles of each text and the id of its class, null without shingles."""
+    for _, grams, edges in text_shingles(column, width):
+        for i in range(len(edges) - 1):
+            own = np.unique(grams[edges[i] : edges[i + 1]])
+            if not len(own):
+                yield own, None
+                continue
+            total = mix(own ^ U64(0x5851F42D4C957F2D)).sum(dtype=U64) + U64(len(own))
+            yield own, int(mix(np.array([total], U64)).view(np.int64)[0])
 
-    names = ["bucket", "doc_id", "key", "cid", "n", "tokens", "cids", "counts"]
 
-    def rows_of(ids, keys, cids, sizes):
-        k = len(ids)
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array(np.arange(k) % buckets, pa.int32()), ids, keys,
-                pa.array(cids, pa.int64()), pa.array(sizes, pa.int32()),
-                pa.nulls(k, pa.binary()), pa.nulls(k, pa.binary()), pa.nulls(k, pa.binary()),
-            ],
-            names=names,
-        )
+def _rows(width: int):
+    """Class and size of every document."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [(cid, len(own)) for own, cid in _sets(batch.column(2), width)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array([f[0] for f in found], pa.int64()),
+                 pa.array([f[1] for f in found], pa.int32())],
+                names=["doc_id", "key", "cid", "n"],
+            )
+
+    return rows
+
+
+def _scan(buckets: int, width: int):
+    """The shingles of the classes, by bucket."""
 
-    def tokens_of(sets, cids):
+    def packed(sets, cids):
         sizes = np.array([len(s) for s in sets])
         tokens = np.concatenate(sets)
         bucket = ((tokens >> U64(40)) % U64(buckets)).astype(np.uint32)
@@ -99,100 +111,68 @@ def _scan(buckets: int, width: int):
         runs = np.flatnonzero(new)
         counts = np.diff(np.append(runs, len(order))).astype("<u4")
         named, first, entries = np.unique(bucket[runs], return_index=True, return_counts=True)
-        per_bucket = np.add.reduceat(counts, first)
+        per_bucket = np.add.reduceat(counts, first).astype(np.int64)
         run_cids = np.array(cids, np.int64)[owner[runs]]
-        k = len(named)
         return pa.RecordBatch.from_arrays(
-            [
-                pa.array(named.astype(np.int32)), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64()),
-                pa.nulls(k, pa.int64()), pa.nulls(k, pa.int32()), _binary(_pack(low), per_bucket * 5),
-                _binary(run_cids, entries * 8), _binary(counts, entries * 4),
-            ],
-            names=names,
+            [pa.array(named.astype(np.int32)), _binary(_pack(low), per_bucket * 5),
+             _binary(run_cids, entries * 8), _binary(counts, entries * 4)],
+            names=["bucket", "tokens", "cids", "counts"],
         )
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sets, cids, known, held = [], [], set(), 0
         for batch in batches:
-            own_cids, own_sizes = [], []
-            for _, grams, edges in text_shingles(batch.column(2), width):
-                for i in range(len(edges) - 1):
-                    grams_of = np.unique(grams[edges[i] : edges[i + 1]])
-                    own_sizes.append(len(grams_of))
-                    if not len(grams_of):
-                        own_cids.append(None)
-                        continue
-                    total = mix(grams_of ^ U64(0x5851F42D4C957F2D)).sum(dtype=U64)
-                    cid = int(mix(np.array([total + U64(len(grams_of))], U64)).view(np.int64)[0])
-                    own_cids.append(cid)
-                    if cid not in known:
-                        known.add(cid)
-                        sets.append(grams_of)
-                        cids.append(cid)
-                        held += len(grams_of)
+            for own, cid in _sets(batch.column(0), width):
+                if cid is None or cid in known:
+                    continue
+                known.add(cid)
+                sets.append(own)
+                cids.append(cid)
+                held += len(own)
                 if held >= FLUSH:
-                    yield tokens_of(sets, cids)
+                    yield packed(sets, cids)
                     sets, cids, known, held = [], [], set(), 0
-            if own_cids:
-                yield rows_of(batch.column(0), batch.column(1), own_cids, own_sizes)
         if sets:
-            yield tokens_of(sets, cids)
+            yield packed(sets, cids)
 
     return scan
 
 
 def _count(table: pa.Table) -> pa.Table:
     """One bucket: which shingles occur in more than one class."""
+
+    def joined(name):
+        return b"".join(table.column(name).to_pylist())
+
     bucket = table.column("bucket")[0].as_py()
-    is_doc = pc.is_null(table.column("tokens"))
-    docs = table.filter(is_doc)
-    k = len(docs)
-    names = ["bucket", "doc_id", "key", "cid", "n", "shared", "weight", "tokens"]
-    parts = [
-        pa.table(
-            [docs.column(name) for name in names[:5]]
-            + [pa.nulls(k, pa.int32()), pa.nulls(k, pa.float64()), pa.nulls(k, pa.binary())],
-            names=names,
-        )
-    ]
-    rest = table.filter(pc.invert(is_doc))
-    if len(rest):
-        def joined(name):
-            return b"".join(rest.column(name).to_pylist())
-
-        cids = np.frombuffer(joined("cids"), np.int64)
-        counts = np.frombuffer(joined("counts"), "<u4").astype(np.int64)
-        raw = np.frombuffer(joined("tokens"), np.uint8).reshape(-1, 5)
-        _, first = np.unique(cids, return_index=True)  # a class sent by several scan tasks counts once
-        kept = np.zeros(len(cids), bool)
-        kept[first] = True
-        raw = raw[np.repeat(kept, counts)]
-        cids, counts = cids[kept], counts[kept]
-        tokens = _unpack(raw)
-        order = np.argsort(tokens, kind="stable")
-        ordered = tokens[order]
-        runs = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1]))
-        lengths = np.diff(np.append(runs, len(ordered)))
-        df = np.empty(len(tokens), np.int64)
-        df[order] = np.repeat(lengths, lengths)
-        shared = df > 1
-        owner = np.repeat(np.arange(len(cids)), counts)[shared]
-        log_df = np.log2(df[shared])
-        level = np.minimum(255, log_df * 8).astype(np.uint8)
-        sizes = np.bincount(owner, minlength=len(cids))
-        weights = np.bincount(owner, log_df, minlength=len(cids))
-        some = sizes > 0
-        k = int(some.sum())
-        data = np.column_stack([raw[shared], level])
-        parts.append(
-            pa.table(
-                [pa.array(np.full(k, bucket, np.int32)), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64()),
-                 pa.array(cids[some]), pa.nulls(k, pa.int32()), pa.array(sizes[some].astype(np.int32)),
-                 pa.array(weights[some]), _binary(data, sizes[some] * 6)],
-                names=names,
-            )
-        )
-    return pa.concat_tables(parts)
+    cids = np.frombuffer(joined("cids"), np.int64)
+    counts = np.frombuffer(joined("counts"), "<u4").astype(np.int64)
+    raw = np.frombuffer(joined("tokens"), np.uint8).reshape(-1, 5)
+    _, first = np.unique(cids, return_index=True)  # a class sent by several scan tasks counts once
+    kept = np.zeros(len(cids), bool)
+    kept[first] = True
+    raw = raw[np.repeat(kept, counts)]
+    cids, counts = cids[kept], counts[kept]
+    tokens = _unpack(raw)
+    order = np.argsort(tokens, kind="stable")
+    ordered = tokens[order]
+    runs = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1]))
+    lengths = np.diff(np.append(runs, len(ordered)))
+    df = np.empty(len(tokens), np.int64)
+    df[order] = np.repeat(lengths, lengths)
+    shared = df > 1
+    owner = np.repeat(np.arange(len(cids)), counts)[shared]
+    log_df = np.log2(df[shared])
+    level = np.minimum(255, log_df * 8).astype(np.uint8)
+    sizes = np.bincount(owner, minlength=len(cids))
+    weights = np.bincount(owner, log_df, minlength=len(cids))
+    some = sizes > 0
+    return pa.table(
+        [pa.array(np.full(int(some.sum()), bucket, np.int32)), pa.array(cids[some]),
+         pa.array(sizes[some].astype(np.int32)), pa.array(weights[some]),
+         _binary(np.column_stack([raw[shared], level]), sizes[some] * 6)],
+        names=["bucket", "cid", "shared", "weight", "tokens"],
+    )
 
 
 def _assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -444,8 +424,16 @@ def _links(alive: DataFrame, percent: int) -> DataFrame:
     other = sets.select([F.col(c).alias(f"{c}_p") for c in sets.columns]).withColumnRenamed("cid_p", "pivot")
     overlap = F.size(F.array_intersect("tokens", "tokens_p"))
     able = (100 + percent) * F.least("shared", "shared_p") >= percent * (F.col("n") + F.col("n_p"))
-    near = F.when(able, (100 + percent) * overlap >= percent * (F.col("n") + F.col("n_p"))).otherwise(F.lit(False))
-    stars = durable(stars.join(sets, "cid").join(other, "pivot").select("cid", "pivot", near.alias("near")))
+    near = (100 + percent) * overlap >= percent * (F.col("n") + F.col("n_p"))
+    light, light_p = sets.drop("tokens"), other.drop("tokens_p")
+    stars = durable(stars.join(light, "cid").join(light_p, "pivot").select("cid", "pivot", able.alias("able")))
+    near = (
+        stars.where("able").select("cid", "pivot").join(sets, "cid").join(other, "pivot")
+        .select("cid", "pivot", near.alias("near"))
+    )
+    stars = durable(
+        near.unionByName(stars.where("NOT able").select("cid", "pivot", F.lit(False).alias("near")))
+    )
 
     links = stars.where("near").select(F.col("cid").alias("a"), F.col("pivot").alias("b"))
     labels = durable(components(links))
@@ -490,14 +478,15 @@ def _classified(docs: DataFrame, percent: int, width: int, id_column: str, text_
     )
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(LEAST_BUCKETS, math.ceil(size / 6 / TOKENS_PER_BUCKET))
-    scanned = docs.mapInArrow(_scan(buckets, width), SCAN)
-    counted = durable(scanned.groupBy("bucket").applyInArrow(_count, COUNTED))
-    rows = counted.where("tokens IS NULL").select("doc_id", "key", "cid", "n")
+    rows = durable(docs.mapInArrow(_rows(width), ROWS))
     classes = (
         rows.where("cid IS NOT NULL").groupBy("cid").agg(F.min("doc_id").alias("low"), F.max("n").alias("n"))
     )
     alive = (
-        counted.where("tokens IS NOT NULL")
+        docs.select("text")
+        .mapInArrow(_scan(buckets, width), SCAN)
+        .groupBy("bucket")
+        .applyInArrow(_count, COUNTED)
         .groupBy("cid")
         .agg(
             F.sum("shared").cast("int").alias("shared"),
@@ -553,12 +542,18 @@ def keep_one(
     found = durable(_classified(docs, percent, width, id_column, text_column))
     worded = found.where("cid IS NOT NULL")
     top = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")).alias("top")
-    first = worded.groupBy("label").agg(top).select("top.doc_id", "top.key")
-    stay = first.unionByName(found.where("cid IS NULL").select("doc_id", "key").distinct())
-    stay = stay.select(F.col("doc_id").alias("_stay_id"), F.col("key").alias("_stay_key"))
+    first = worded.groupBy("label").agg(top)
+    stays = F.col("doc_id").eqNullSafe(F.col("top.doc_id")) & (F.col("key") == F.col("top.key"))
+    lost = (
+        worded.join(first, "label").where(~stays).select("doc_id", "key").distinct()
+        .select(F.col("doc_id").alias("_lost_id"), F.col("key").alias("_lost_key"))
+    )
+    lost = durable(lost)
+    if lost.count() <= BROADCAST_ROWS:
+        lost = F.broadcast(lost)
     keyed = docs.withColumn("_key", F.xxhash64(F.col(text_column)))
-    same = keyed["_key"].eqNullSafe(stay["_stay_key"]) & keyed[id_column].cast("long").eqNullSafe(stay["_stay_id"])
-    kept = keyed.join(stay, same, "left_semi")
+    same = keyed["_key"].eqNullSafe(F.col("_lost_key")) & keyed[id_column].cast("long").eqNullSafe(F.col("_lost_id"))
+    kept = keyed.join(lost, same, "left_anti")
     repeated = worded.groupBy("doc_id", "key").count().where("count > 1").limit(1)
     if repeated.count():  # rows that repeat an id and its text: the join above keeps them all
         blank = F.coalesce(F.col(text_column), F.lit("")).rlike(r"^[\x20\x09-\x0D]*$")
