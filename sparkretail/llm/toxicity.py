@@ -34,6 +34,7 @@ SUPPORT = 0.02  # share of the toxic sample that an entry must occur in
 LEAST_SUPPORT = 4
 ENTRIES = 5_000
 CHUNK = 1 << 20
+PART = 100_000  # features that a task counts before it hands them on
 
 # Signs and the letters they commonly stand for.
 STANDS_FOR = {
@@ -205,16 +206,24 @@ def word_features(text: str) -> set[str]:
 
 
 def _feature_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Documents of either kind per feature, handed on in parts of bounded size."""
+
+    def part(counts: dict[str, list[int]]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array(list(counts), pa.string()), pa.array([c[1] for c in counts.values()], pa.int64()),
+             pa.array([c[0] for c in counts.values()], pa.int64())],
+            names=["feature", "toxic", "clean"],
+        )
+
     counts: dict[str, list[int]] = {}
     for batch in batches:
-        for text, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            for feature in word_features(text):
+        for text, y in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
+            for feature in word_features(text.as_py()):
                 counts.setdefault(feature, [0, 0])[y] += 1
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(list(counts), pa.string()), pa.array([c[1] for c in counts.values()], pa.int64()),
-         pa.array([c[0] for c in counts.values()], pa.int64())],
-        names=["feature", "toxic", "clean"],
-    )
+            if len(counts) >= PART:
+                yield part(counts)
+                counts = {}
+    yield part(counts)
 
 
 def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
