@@ -165,7 +165,7 @@ def _count(table: pa.Table) -> pa.Table:
     log_df = np.log2(df[shared])
     level = np.minimum(255, log_df * 8).astype(np.uint8)
     sizes = np.bincount(owner, minlength=len(cids))
-    weights = np.bincount(owner, log_df, minlength=len(cids))
+    weights = np.bincount(owner, log_df, minlength=len(cids)).astype(float)  # integers if there are none
     some = sizes > 0
     return pa.table(
         [pa.array(np.full(int(some.sum()), bucket, np.int32)), pa.array(cids[some]),

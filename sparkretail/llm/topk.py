@@ -160,7 +160,7 @@ def _assign(pivots: np.ndarray):
             for dim in np.unique(sizes):
                 rows = np.flatnonzero(sizes == dim)
                 x = _matrix(lists.take(pa.array(rows))) if dim else np.zeros((len(rows), 0))
-                if dim and dim == pivots.shape[1]:
+                if len(pivots) and dim == pivots.shape[1]:
                     near = (x**2).sum(1)[:, None] - 2 * x @ pivots.T + (pivots**2).sum(1)[None]
                     cell[rows] = near.argmin(1)
                     reach[rows] = np.sqrt(((x - pivots[cell[rows]]) ** 2).sum(1))
@@ -250,7 +250,8 @@ def top_k(
         rows = rows.groupBy("vec_id").agg(F.max("v").alias("v"), F.max("asked").alias("asked"))
     asked_ids = rows.where("asked").select("vec_id")
     sample = rows.select("vec_id", "v").orderBy(F.xxhash64("vec_id"), "vec_id").limit(PIVOTS).collect()
-    dim = len(sample[0][1]) if sample else 0
+    sizes = [len(r[1]) for r in sample if len(r[1])]
+    dim = max(set(sizes), key=lambda s: (sizes.count(s), s), default=1)  # the usual dimension
     pivots = np.array([r[1] for r in sample if len(r[1]) == dim], float).reshape(-1, dim)
     placed = durable(
         rows.select("vec_id", "v").mapInArrow(
