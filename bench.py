@@ -29,7 +29,7 @@ OTHERS = (
     "line_revenue", "clean_sales", "collapse_tickets", "store_list", "store_contribution",
     "store_payment_profile", "store_rollup", "store_segments", "orphan_sales",
     "customer_totals", "latest_order_per_customer", "enriched_clicks", "interval_pairs",
-    "dataset_diff", "sorted_export", "eventlog_profile",
+    "dataset_diff", "sorted_export",
 )
 
 

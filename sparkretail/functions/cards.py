@@ -29,9 +29,10 @@ def _digit_sum(digits: Column, double_last: bool) -> Column:
 
 
 def luhn_digit(body: Column | str) -> Column:
-    """The check digit to append to a digit string."""
+    """The check digit to append to a digit string; NULL for one of more than 20 digits."""
     body = F.col(body) if isinstance(body, str) else body
-    return ((F.lit(10) - _digit_sum(body, double_last=True) % 10) % 10).cast("string")
+    digit = ((F.lit(10) - _digit_sum(body, double_last=True) % 10) % 10).cast("string")
+    return F.when(F.length(body) <= MAX_DIGITS, digit)
 
 
 def luhn_valid(number: Column | str) -> Column:

@@ -17,7 +17,6 @@ from sparkretail.functions.money import (
     wide_sum,
 )
 from sparkretail.operators.clean import floor
-from sparkretail.operators.skew import BUCKETS, salt_of
 
 OPEN_HOUR, CLOSE_HOUR = 9, 21
 RSD = 0.05
@@ -129,40 +128,23 @@ def distinct_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.select(*columns).distinct()
 
 
-def customer_totals(
-    tx: DataFrame,
-    key: str,
-    amount_cents: Column,
-    row_id: str,
-    buckets: int = BUCKETS,
-    precision: int = 18,
-) -> DataFrame:
-    """Transactions, total, smallest, largest and mean amount per customer in two phases.
+def customer_totals(tx: DataFrame, key: str, amount_cents: Column, precision: int = 18) -> DataFrame:
+    """Transactions, total, smallest, largest and mean amount per customer.
 
-    Phase one groups on (customer, salt), so a customer with half of all rows is
-    aggregated by ``buckets`` tasks; phase two merges at most ``buckets`` rows per
-    customer. The mean is total / count, rounded half-up to cents.
+    Every figure combines before the shuffle, so a customer with half of all rows sends
+    one row per task. The mean is total / count, rounded half-up to cents.
     """
-    partial = (
-        tx.withColumn("_cents", amount_cents)
-        .groupBy(key, salt_of(row_id, buckets).alias("_salt"))
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            wide_sum(F.col("_cents")).alias("cents"),
-            F.min("_cents").alias("lo"),
-            F.max("_cents").alias("hi"),
-        )
-    )
-    n = F.sum("n").cast("decimal(18,0)")
-    total = F.sum("cents").cast("decimal(30,0)")
+    cents = F.col("_cents")
+    n = F.count(F.lit(1)).cast("decimal(18,0)")
+    total = wide_sum(cents).cast("decimal(30,0)")
     # Half-up on whole numbers: (2 total + n) div 2n, mirrored below zero.
     doubled = total * F.lit(Decimal(2)) + F.when(total < 0, -n).otherwise(n)
     mean = F.call_function("div", doubled, n * F.lit(Decimal(2)))
-    return partial.groupBy(key).agg(
-        F.sum("n").alias("txn_count"),
+    return tx.withColumn("_cents", amount_cents).groupBy(key).agg(
+        F.count(F.lit(1)).alias("txn_count"),
         money_total(total, precision).alias("total_amount"),
-        as_money(F.min("lo"), precision).alias("min_amount"),
-        as_money(F.max("hi"), precision).alias("max_amount"),
+        as_money(F.min(cents), precision).alias("min_amount"),
+        as_money(F.max(cents), precision).alias("max_amount"),
         as_money(mean, precision).alias("avg_amount"),
     )
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkretail.functions.dates import epoch_micros, time_bucket
-from sparkretail.operators.skew import BROADCAST_BYTES, HOT_SHARE, salted_join, sized_join
+from sparkretail.operators.skew import BROADCAST_BYTES, ROWS_PER_TASK, salted_join, sized_join
 from sparkretail.operators.windows import current_catalog
 
 
@@ -45,7 +45,7 @@ def interval_pairs(
     second_ts: str,
     within_seconds: int,
     output: Sequence[Column] | None = None,
-    hot_share: float | None = HOT_SHARE,
+    rows_per_task: int | None = ROWS_PER_TASK,
 ) -> DataFrame:
     """Every pair with equal key and ``first_ts <= second_ts <= first_ts + within``.
 
@@ -53,8 +53,9 @@ def interval_pairs(
     next one, so the join runs on (key, slot) with each first row in two slots. One busy
     visitor is spread over all slots of the period and never meets its whole history:
     the rows compared stay proportional to the pairs returned. A (key, slot) that still
-    holds more than ``hot_share`` of the first side, a burst of one robot, is salted;
-    None leaves out the count that finds such slots.
+    holds more than ``rows_per_task`` rows of the first side, a burst of one robot, is
+    salted; None leaves out the count that finds such slots. All pairs inside the window
+    are the result, so a robot's rows within one window are returned pairwise.
 
     The inputs must not share column names other than ``key``; it appears once.
     """
@@ -70,9 +71,9 @@ def interval_pairs(
     )
     second_slots = second.withColumn(slot, time_bucket(F.col(second_ts), within_seconds))
     gap = epoch_micros(F.col(second_ts)) - epoch_micros(F.col(first_ts))
-    if hot_share is None:
+    if rows_per_task is None:
         joined = first_slots.join(second_slots, [key, slot])
     else:
-        joined = salted_join(first_slots, second_slots, [key, slot], share=hot_share)
+        joined = salted_join(first_slots, second_slots, [key, slot], rows_per_task=rows_per_task)
     pairs = joined.filter(gap.between(0, within_seconds * 1_000_000))
     return pairs.select(*output) if output else pairs.drop(slot)

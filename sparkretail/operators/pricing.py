@@ -41,6 +41,7 @@ from sparkretail.operators.skew import (
 )
 
 KEYS = ["mcc", "country_code", "entry_mode"]
+MOST_ISOLATED = 100
 STRATEGIES = ("naive", "pruned", "broadcast", "salted", "isolate", "period_key", "aqe", "auto")
 
 # Fixed values of the published schedule: weekly versions from this day on.
@@ -114,8 +115,9 @@ def _isolated(
     fact: DataFrame, rates: DataFrame, hot: Sequence[Sequence[str]] | None, max_bytes: int
 ) -> DataFrame:
     if hot is None:
-        # Fewer than 1/share keys by arithmetic, so this list is bounded.
-        hot = [tuple(row) for row in hot_keys(fact.dropna(subset=KEYS), KEYS).collect()]
+        # The heaviest keys; any further one is cut by the salted join of the cold side.
+        found = hot_keys(fact.dropna(subset=KEYS), KEYS).orderBy(F.desc("parts"), *KEYS)
+        hot = [tuple(row) for row in found.select(*KEYS).limit(MOST_ISOLATED).collect()]
     if not hot:
         return _valid(fact.join(rates.hint("merge"), KEYS))
     is_hot = reduce(lambda a, b: a | b, [is_key(v) for v in hot])
@@ -125,7 +127,7 @@ def _isolated(
         hot_part = _valid(hot_fact.join(F.broadcast(hot_rates), KEYS))
     else:
         hot_part = _salted(hot_fact, hot_rates, BUCKETS)
-    cold_part = _valid(cold_fact.join(cold_rates.hint("merge"), KEYS))
+    cold_part = _valid(salted_join(cold_fact, cold_rates.hint("merge"), KEYS))
     return hot_part.unionByName(cold_part)
 
 
@@ -174,7 +176,7 @@ def price(
     elif fits_broadcast(keyed_rates, max_bytes):
         joined = keyed_fact.join(F.broadcast(keyed_rates), keys)
     else:
-        joined = salted_join(keyed_fact, keyed_rates, keys, "inner", buckets)
+        joined = salted_join(keyed_fact, keyed_rates, keys)
     return _valid(joined).drop(_PERIOD)
 
 

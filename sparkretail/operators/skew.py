@@ -13,8 +13,10 @@ from sparkretail.sources.readers import scalar
 # Payload up to this size may be broadcast. Spark's own limit for a hash relation is
 # 8 GB; a small fraction of executor memory keeps room for the tasks themselves.
 BROADCAST_BYTES = 128 * 1024 * 1024
-# A key is hot when it holds more than this share of the rows, so at most 100 are.
-HOT_SHARE = 0.01
+# Rows of one key that a single task may hold; a key with more is split into as many
+# parts as it needs.
+ROWS_PER_TASK = 2_000_000
+# Parts of every key in the plans that salt uniformly, where nothing is counted.
 BUCKETS = 16
 
 _SALT = "_salt"
@@ -54,13 +56,14 @@ def replicate(df: DataFrame, buckets: int = BUCKETS, name: str = _SALT) -> DataF
     return df.withColumn(name, F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
 
 
-def hot_keys(df: DataFrame, keys: list[str], share: float = HOT_SHARE) -> DataFrame:
-    """Keys that hold more than ``share`` of the rows: fewer than ``1/share`` rows.
+def hot_keys(df: DataFrame, keys: list[str], rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """Keys with more than ``rows_per_task`` rows, and the ``parts`` they need.
 
-    Counting combines map-side, so a hot key shuffles one row per task.
+    At most rows / ``rows_per_task`` keys. Counting combines map-side, so a hot key
+    shuffles one row per task.
     """
-    total = df.count()
-    return df.groupBy(*keys).count().filter(F.col("count") > F.lit(total * share)).select(*keys)
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > rows_per_task)
+    return counts.select(*keys, F.ceil(F.col("_n") / rows_per_task).cast("int").alias("parts"))
 
 
 def salted_join(
@@ -68,30 +71,24 @@ def salted_join(
     right: DataFrame,
     keys: list[str],
     how: str = "inner",
-    buckets: int = BUCKETS,
-    share: float = HOT_SHARE,
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
-    """Equi-join that spreads only the hot keys of ``left`` over ``buckets`` tasks.
+    """Equi-join that cuts every key of ``left`` with more than ``rows_per_task`` rows.
 
-    Rows of other keys keep salt 0, and the right side is copied for hot keys only, so
-    it does not grow ``buckets``-fold. ``how`` is inner, left, left_semi or left_anti.
-    Rows with a NULL key match nothing; they are spread too.
+    Each such key gets as many salts as it needs; rows of other keys keep salt 0, and the
+    right side is copied for hot keys only. ``how`` is inner, left, left_semi or left_anti.
+    Rows with a NULL key match nothing; they are spread over all tasks.
     """
-    flag = hot_keys(left, keys, share).withColumn("_hot", F.lit(True))
+    parts = hot_keys(left.dropna(subset=keys), keys, rows_per_task).withColumnRenamed("parts", "_parts")
     has_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-    spread = F.coalesce(F.col("_hot"), F.lit(False)) | has_null
-    left_salted = (
-        left.join(F.broadcast(flag), keys, "left")
-        .withColumn(
-            _SALT, F.when(spread, salt_of_row(left.columns, buckets)).otherwise(F.lit(0))
-        )
-        .select(*left.columns, _SALT)
+    row = F.xxhash64(*left.columns)
+    salt = F.when(has_null, F.pmod(row, F.lit(2**31 - 1)).cast("int")).otherwise(
+        F.coalesce(F.pmod(row, F.col("_parts")).cast("int"), F.lit(0))
     )
-    copies = F.when(
-        F.coalesce(F.col("_hot"), F.lit(False)), F.sequence(F.lit(0), F.lit(buckets - 1))
-    ).otherwise(F.array(F.lit(0)))
+    left_salted = left.join(F.broadcast(parts), keys, "left").withColumn(_SALT, salt).select(*left.columns, _SALT)
+    copies = F.sequence(F.lit(0), F.coalesce(F.col("_parts"), F.lit(1)) - 1)
     right_salted = (
-        right.join(F.broadcast(flag), keys, "left")
+        right.join(F.broadcast(parts), keys, "left")
         .withColumn(_SALT, F.explode(copies))
         .select(*right.columns, _SALT)
     )

@@ -84,17 +84,6 @@ LINE_KEY_SQL = "((l_orderkey * 8 + l_linenumber) * 7919 + l_partkey % 7919)"
 LINES_SQL = f"lines AS (SELECT *, {LINE_KEY_SQL} AS key FROM lineitem)"
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Use all cores on a table with fewer file splits than cores.
-
-    Deriving codes costs more CPU than reading, and a small table is one split. Hashing
-    on the key gives the same placement after a retry. A table with splits enough, as any
-    large one, is left where it was read.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
-
-
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").withColumn("key", line_key())
 
@@ -184,7 +173,7 @@ def payments(
 
 
 def payment_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(lines(spark, sf_dir).select("key", "l_extendedprice"), "key")
+    return lines(spark, sf_dir).select("key", "l_extendedprice")
 
 
 _P = pay.STREAMS
@@ -266,5 +255,3 @@ CLICKS_SQL = """impressions AS (SELECT CAST(event_id AS VARCHAR) AS impression_i
 purchases AS (SELECT event_id, CAST(event_id AS VARCHAR) AS purchase_id,
   CAST(user_id AS VARCHAR) AS visitor_id, event_id % 5000 AS product_id,
   CAST(value AS DECIMAL(10,2)) AS amount, ts AS purchase_ts FROM events WHERE event_type = 'purchase')"""
-
-EVENTS_FIRST_DAY = dt.date(2024, 1, 1)

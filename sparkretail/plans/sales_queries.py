@@ -29,6 +29,7 @@ from sparkretail.synth import sales as synth
 DIRT_RATE, SEED = 0.12, 42
 FLOOR_STORES, DECOY_STORES = (100, 139), (1, 30)
 AUDIT_PRODUCTS = (7, 13, 19, 28, 31, 35, 38, 42)
+SORTED_ROWS_PER_FILE = 1_000_000
 CUSTOMER_STREAMS = {"u_who": 21, "u_tail": 22}
 RUN_STREAMS = {"u_state": 23}
 
@@ -41,7 +42,7 @@ def _sales(spark: SparkSession, sf: str) -> DataFrame:
 
 def _dirty(spark: SparkSession, sf: str, keep_kind: bool = False) -> DataFrame:
     # The cleaning rules expect a completed sale unless a defect says otherwise.
-    completed = derive.spread(_sales(spark, sf), "key").withColumn("status", F.lit("COMPLETED"))
+    completed = _sales(spark, sf).withColumn("status", F.lit("COMPLETED"))
     return synth.plant_dirt(completed, "key", DIRT_RATE, seed=SEED, keep_kind=keep_kind)
 
 
@@ -176,7 +177,7 @@ def customer_totals(spark: SparkSession, sf: str) -> DataFrame:
         F.col("key").cast("string").alias("txn_id"), who.alias("customer_id"), "l_extendedprice"
     )
     return aggregates.customer_totals(
-        tx, "customer_id", units("l_extendedprice", 2), "txn_id", precision=MONEY_DIGITS
+        tx, "customer_id", units("l_extendedprice", 2), precision=MONEY_DIGITS
     )
 
 
@@ -196,9 +197,20 @@ def run_statistics(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def audit_sample(spark: SparkSession, sf: str) -> DataFrame:
+    """What holds for any seeded draw: its seed, the floor, no row from outside, a size near a
+    tenth, and the same rows when drawn again."""
     sales = _sales(spark, sf).withColumn("product_code", F.lit(None).cast("string"))
     envelopes = synth.audit_envelopes(sales, AUDIT_PRODUCTS)
-    return ordering.audit_sample(sales.unionByName(envelopes)).select("txn_id", "store_id", "quantity")
+    everything = sales.unionByName(envelopes)
+    floor = clean.floor(everything).select("txn_id")
+    sample = ordering.audit_sample(everything).select("txn_id")
+    again = ordering.audit_sample(everything).select("txn_id")
+    n, size = floor.count(), sample.count()
+    outside = sample.join(floor, "txn_id", "left_anti").count()
+    same = sample.exceptAll(again).count() + again.exceptAll(sample).count() == 0
+    row = (ordering.audit_seed(everything), n, outside, int(abs(size - 0.1 * n) <= 5 * (0.09 * n) ** 0.5), int(same))
+    names = "seed bigint, floor_rows bigint, outside bigint, size_within_5_sigma bigint, repeats bigint"
+    return spark.createDataFrame([row], names)
 
 
 def hash_sample(spark: SparkSession, sf: str) -> DataFrame:
@@ -287,8 +299,8 @@ def dataset_diff(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def key_difference(spark: SparkSession, sf: str) -> DataFrame:
-    """Customers without orders in the second half of the table's order numbers, and
-    orders of customers outside the first market segment: keys on one side only."""
+    """Customers of the BUILDING segment against the customers of urgent orders: keys that
+    stand on one side only."""
     building = table(spark, sf, "customer").filter(F.col("c_mktsegment") == "BUILDING")
     urgent = table(spark, sf, "orders").filter(F.col("o_orderpriority") == "1-URGENT")
     return compare.key_diff(
@@ -317,7 +329,8 @@ def concat_parts(spark: SparkSession, sf: str) -> DataFrame:
 def sorted_export(spark: SparkSession, sf: str) -> DataFrame:
     events = table(spark, sf, "events").select("event_id", F.col("value").alias("amount"), "user_id")
     path = fresh_path(spark, "sorted")
-    sinks.write_sorted(events, ordering.by_amount(), 16, path)
+    n_files = max(1, -(-events.count() // SORTED_ROWS_PER_FILE))
+    sinks.write_sorted(events, ordering.by_amount(), n_files, path)
     return spark.read.parquet(path)
 
 
@@ -433,6 +446,9 @@ SELECT variant, count(*) AS completed_runs,
   CAST((sum(s) * 2 + count(s)) // (2 * count(s)) AS DOUBLE) / 100 AS skew_ratio_avg,
   CAST(min(s) AS DOUBLE) / 100 AS skew_ratio_min, CAST(max(s) AS DOUBLE) / 100 AS skew_ratio_max
 FROM runs WHERE state = 'COMPLETED' GROUP BY variant""",
+    "audit_sample": f"""WITH {SALES_SQL} SELECT CAST({max(AUDIT_PRODUCTS)} AS BIGINT) AS seed, count(*) AS floor_rows,
+  CAST(0 AS BIGINT) AS outside, CAST(1 AS BIGINT) AS size_within_5_sigma, CAST(1 AS BIGINT) AS repeats
+FROM sales WHERE {FLOOR_SQL}""",
     "hash_sample": f"""WITH {SALES_SQL} SELECT txn_id, store_id FROM sales
 WHERE {FLOOR_SQL} AND substr(md5('7:' || txn_id), 1, 8) < '{format(int(0.1 * 16**8), "08x")}'""",
     "orphan_sales": _ORPHANS_SQL.format("NOT "),

@@ -38,10 +38,9 @@ MILLION = 1_000_000
 
 
 def hot_key_probability(target: float, hot_mcc_share: float | None = None) -> float:
-    """Share of rows to force onto the hot key so that it ends up with ``target``.
+    """Probability of overwriting a row's key with the hot one, for a hot share ``target``.
 
-    Rows that are not forced still hit the key by chance with share ``base``; solving
-    p + (1 - p) * base = target keeps the total exact.
+    The independent draws of the three columns already give ``base``.
     """
     mcc, country, entry = ref.HOT_KEY
     mcc_share = 1 / len(ref.MCCS) if hot_mcc_share is None else hot_mcc_share

@@ -151,12 +151,9 @@ ENTRY_BPS = {
 }
 RISK_BPS = {"low": 0, "medium": 12, "high": 30}
 
-# Programme names: country, category, entry mode, then these two texts around the week.
-PROGRAM_WEEK = " programme, week "
-PROGRAM_PURPOSE = (
-    " effective schedule — settlement interchange published by scheme for acquirer billing"
-    " and reconciliation"
-)
+# Programme names: country, category and entry mode, then the week between these texts.
+PROGRAM_WEEK = " rates of week "
+PROGRAM_PURPOSE = " (generated card)"
 
 # Sampling weights. Countries: five named shares, the other twenty split 41 % evenly.
 COUNTRY_WEIGHTS = [

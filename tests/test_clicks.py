@@ -128,8 +128,8 @@ def test_interval_pairs_match_the_plain_range_join(spark, within):
         F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 20).alias("v"),
         F.timestamp_seconds((F.col("id") * 104_729) % 40_000).alias("b_ts"), F.col("id").alias("b_id"),
     )
-    got = matching.interval_pairs(a, b, "v", "a_ts", "b_ts", within, hot_share=0.005).select("a_id", "b_id")
-    plain = matching.interval_pairs(a, b, "v", "a_ts", "b_ts", within, hot_share=None).select("a_id", "b_id")
+    got = matching.interval_pairs(a, b, "v", "a_ts", "b_ts", within, rows_per_task=10).select("a_id", "b_id")
+    plain = matching.interval_pairs(a, b, "v", "a_ts", "b_ts", within, rows_per_task=None).select("a_id", "b_id")
     seconds = F.unix_micros("b_ts") - F.unix_micros("a_ts")
     want = a.join(b, "v").filter(seconds.between(0, within * 1_000_000)).select("a_id", "b_id")
     assert compare.same_rows(want, got) and compare.same_rows(want, plain)

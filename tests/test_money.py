@@ -3,6 +3,7 @@
 from decimal import ROUND_HALF_UP
 from decimal import Decimal as D
 
+import pytest
 from conftest import collect
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -79,3 +80,18 @@ def test_overflow_is_an_error_or_null(spark):
     assert df.select(money.line_revenue("q", "p", "d", 12, "null")).first()[0] is None
     with pytest.raises(ArithmeticException):
         df.select(money.line_revenue("q", "p", "d", 12)).collect()
+
+
+def test_more_decimals_are_exact_or_an_error(spark):
+    rows = [(3, D("10.0000"), D("0.1250")), (7, D("0.0050"), D("0.0000")), (1, D("1234567.8901"), D("0.3333")), (2, None, D("0.1"))]
+    df = spark.createDataFrame(rows, "q INT, p DECIMAL(14,4), d DECIMAL(5,4)")
+    out = df.select("q", "p", "d", money.line_revenue("q", "p", "d", 18).alias("r"),
+                    money.as_money(money.contribution_cents("q", "p", "d")).alias("c"))
+    for q, p, d, r, c in out.collect():
+        assert (r, c) == ((None, None) if p is None else (cents(q * p * (1 - d)), cents(q * p * (1 - d) ** 2)))
+    fee = spark.createDataFrame([(D("10.1234"), 125, D("0.0500"))], "a DECIMAL(14,4), r INT, f DECIMAL(6,4)")
+    assert fee.select(money.interchange_fee("a", "r", "f")).first()[0] == cents(D("10.1234") * 125 / 10000 + D("0.05"))
+    wide = spark.createDataFrame([(D("1234567890123456.78"),)], "a DECIMAL(18,2)")
+    assert wide.select(money.units("a", 2)).first()[0] == 123456789012345678
+    with pytest.raises(Exception, match="more than 2 decimals"):
+        spark.createDataFrame([(0.125,)], "a DOUBLE").select(money.units("a", 2)).collect()

@@ -157,15 +157,17 @@ def test_salted_join_equals_plain_join(spark, how):
     right = spark.range(0, 300).select(F.col("id").alias("k"), (F.col("id") * 2).alias("w")).unionByName(
         spark.createDataFrame([(7, -1), (None, -2)], "k BIGINT, w BIGINT")
     )
-    got, want = skew.salted_join(left, right, ["k"], how), left.join(right, ["k"], how)
+    got, want = skew.salted_join(left, right, ["k"], how, rows_per_task=300), left.join(right, ["k"], how)
     assert got.columns == want.columns
     assert compare.same_rows(want, got)
-    assert collect(skew.hot_keys(left, ["k"], 0.1)) == [(7,)]
+    assert collect(skew.hot_keys(left.dropna(), ["k"], 300)) == [(7, 4)]
+    equal = spark.range(15_000).select((F.col("id") % 150).alias("k"))
+    assert skew.hot_keys(equal, ["k"], 30).filter("parts = 4").count() == 150
 
 
 def test_salted_join_copies_hot_keys_only(spark):
     left = spark.range(10_000).select(F.when(F.col("id") % 2 == 0, 1).otherwise(F.col("id")).alias("k"))
-    plan = skew.salted_join(left, spark.range(5_000).withColumnRenamed("id", "k"), ["k"], "left_semi")
+    plan = skew.salted_join(left, spark.range(5_000).withColumnRenamed("id", "k"), ["k"], "left_semi", rows_per_task=1_000)
     assert plan.count() == left.filter("k < 5000").count()
 
 
