@@ -12,7 +12,7 @@ from sparkretail.functions.draws import fenced
 from sparkretail.operators import manifest, pricing, settlement
 from sparkretail.plans import derive
 from sparkretail.plans.derive import PAYMENTS_SQL, PRICED_SQL
-from sparkretail.session import fresh_path
+from sparkretail.session import fresh_path, profiled
 from sparkretail.sources import readers, sinks
 from sparkretail.synth import payments as pay
 from sparkretail.synth import reference_data as ref
@@ -35,7 +35,13 @@ def priced(spark: SparkSession, sf: str, strategy: str = "auto") -> DataFrame:
 
 
 def month_rollup(strategy: str, spark: SparkSession, sf: str) -> DataFrame:
-    return settlement.settle_by_month(priced(spark, sf, strategy))
+    """The month report under a plan. The adaptive plan needs settings of its own (sort-merge
+    join, split skewed partitions): its report is written under them and read back."""
+    if strategy != "aqe":
+        return settlement.settle_by_month(priced(spark, sf, strategy))
+    path = fresh_path(spark, "price-aqe")
+    settlement.settle_by_month(priced(profiled(spark, "skew_aqe"), sf, strategy)).write.parquet(path)
+    return spark.read.parquet(path)
 
 
 def settle_by_entry(spark: SparkSession, sf: str) -> DataFrame:

@@ -81,6 +81,20 @@ def conf_overlay(spark: SparkSession, conf: dict[str, str]) -> Iterator[None]:
                 spark.conf.set(key, value)
 
 
+def profiled(spark: SparkSession, profile: str) -> SparkSession:
+    """A further session of the same application with a profile of its own.
+
+    Unlike ``conf_overlay`` it leaves the caller's settings alone, and what it returns
+    later is still planned under the profile.
+    """
+    own = spark.newSession()
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
+    for key, value in {**BASE_CONF, **PROFILES[profile], "spark.sql.shuffle.partitions": partitions}.items():
+        if own.conf.isModifiable(key):
+            own.conf.set(key, value)
+    return own
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors see, from ``spark.checkpoint.dir``.
 

@@ -8,7 +8,8 @@ from conftest import collect
 from pyspark.sql import functions as F
 
 from sparkretail.operators import compare, pricing, settlement, skew, windows
-from sparkretail.session import PROFILES, conf_overlay
+from sparkretail.plans import payment_queries
+from sparkretail.session import PROFILES, conf_overlay, profiled
 from sparkretail.sources.readers import plan_text
 from sparkretail.synth import payments as pay
 from sparkretail.synth import reference_data as ref
@@ -139,6 +140,32 @@ def test_aqe_profile_runs(spark, fact, rates, expected):
         assert compare.same_rows(expected, pricing.priced_rows(priced))
 
 
+def test_aqe_splits_the_hot_partition(spark, fact, rates, expected):
+    small = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16KB",
+        "spark.sql.shuffle.partitions": "64",
+    }
+    with conf_overlay(spark, {**PROFILES["skew_aqe"], **small}):
+        rows = pricing.priced_rows(pricing.price(fact.repartition(8), rates, "aqe", window=pay.FACT_WINDOW))
+        got = collect(rows)
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert got == collect(expected)
+    assert "SortMergeJoin(skew=true)" in plan and "BroadcastHashJoin" not in plan
+
+
+def test_adaptive_report_leaves_the_session_alone(spark, sf):
+    keys = list(PROFILES["skew_aqe"])
+    before = [spark.conf.get(k, None) for k in keys]
+    adaptive = payment_queries.month_rollup("aqe", spark, sf)
+    assert [spark.conf.get(k, None) for k in keys] == before
+    own = profiled(spark, "skew_aqe")
+    plan = plan_text(settlement.settle_by_month(payment_queries.priced(own, sf, "aqe")))
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+    assert compare.same_rows(payment_queries.month_rollup("auto", spark, sf), adaptive)
+
+
 def test_salt_is_a_function_of_the_row(spark):
     ids = spark.range(10_000).select(F.col("id").cast("string").alias("txn_id"))
     a = ids.withColumn("s", skew.salt_of("txn_id", 16))
