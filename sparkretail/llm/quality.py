@@ -259,12 +259,9 @@ def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def learn(docs: DataFrame, labels: DataFrame) -> dict | float:
     """A fitted field, or the share of good labels if the sample has only one kind or none."""
     sample = training_rows(docs, labels, "quality", SAMPLE).where(F.octet_length("text") <= LONGEST_SAMPLE)
-    rows = (
-        sample.select("y", "text")
-        .mapInArrow(_sampled, "y int, sizes binary, features binary")
-        .orderBy("y", "sizes", "features")  # the fit does not depend on the order of files
-        .collect()
-    )
+    found = sample.select("y", "text").mapInArrow(_sampled, "y int, sizes binary, features binary").collect()
+    # At most SAMPLE rows; sorted, so that the fit does not depend on the order of files.
+    rows = sorted((r[0], bytes(r[1]), bytes(r[2])) for r in found)
     y = np.array([r[0] for r in rows], float)
     if len(set(y)) < 2:
         return float(y.mean()) if len(y) else 0.5
