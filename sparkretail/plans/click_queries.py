@@ -10,7 +10,7 @@ from sparkretail.functions.draws import pick, with_draws
 from sparkretail.operators import matching
 from sparkretail.plans import derive
 from sparkretail.plans.derive import CLICKS_SQL, LINES_SQL, sql_draws, sql_padded, sql_pick, table
-from sparkretail.session import fresh_path
+from sparkretail.session import fresh_path, profiled
 from sparkretail.sources import readers, schemas
 from sparkretail.streaming import attribution
 from sparkretail.synth import clicks as synth
@@ -66,9 +66,10 @@ def _stream(spark: SparkSession, sf: str, late: bool) -> DataFrame:
 
     attribution.write_slices(impressions, "slice", SLICES, f"{base}/impressions")
     attribution.write_slices(purchases, "slice", SLICES, f"{base}/purchases")
+    own = profiled(spark, "streaming")
     pairs = attribution.attribute(
-        readers.stream_files(spark, f"{base}/impressions", schemas.IMPRESSIONS),
-        readers.stream_files(spark, f"{base}/purchases", schemas.PURCHASES),
+        readers.stream_files(own, f"{base}/impressions", schemas.IMPRESSIONS),
+        readers.stream_files(own, f"{base}/purchases", schemas.PURCHASES),
         window_seconds=WITHIN,
     )
     attribution.drain_to_files(
