@@ -1,4 +1,4 @@
-"""License phrases in documents, and lines that contain a license notice.
+"""License phrases in documents, and lines and passages that contain a license notice.
 
 The notices are found by an exact set-similarity join: a line matches a template when it
 holds at least ``THRESHOLD`` of the template's distinct words. Template words are ordered
@@ -8,6 +8,12 @@ words (length filter), and after the first common prefix word both have enough w
 (positional filter). What passes is verified. The templates are a small table, so the
 inverted index of their prefixes is a literal of the plan; lines meet it where they are
 read, and nothing is shuffled but the word counts.
+
+A notice may run over line breaks. With ``across_lines``, which the registered query sets,
+the same filters, with the whole text as one line, leave the templates that any passage of it can hold; for these a window of consecutive
+words, ``1 / THRESHOLD`` times as long as the template, slides over the text, and the
+template's distinct words inside it are counted at every place. ``oracle`` states the
+answer for lines only; the two differ where a notice is found in a window and in no line.
 """
 
 from __future__ import annotations
@@ -74,33 +80,68 @@ def frequencies(texts: DataFrame, vocabulary: list[str]) -> dict[str, int]:
     return counts | {r["w"]: r["n"] for r in rows}
 
 
-def _matches(templates: list[tuple[str, list[str]]], order: dict[str, int], threshold: float, lines: str) -> str:
-    """SQL for an array of (label, containment) of the lines that match a template."""
+def _densest(template: str) -> str:
+    """SQL for the most distinct words of a template in any window of its span.
+
+    ``ws`` holds the words of the text. A word at place i that stood at p before counts for
+    the windows that start after p, after i - span and not after i: one sorted list of
+    starts and ends gives the count of every window.
+    """
+    at = f"""array_sort(filter(transform(ws, (w, i) -> named_struct('w', array_position({template}.words, w), 'i', i)), x -> x.w > 0))"""
+    ends = f"""flatten(transform(at, (x, k) -> array(
+        named_struct('s', if(k > 0 and at[greatest(k - 1, 0)].w = x.w, greatest(at[greatest(k - 1, 0)].i, x.i - {template}.span), x.i - {template}.span) + 1, 'd', 1),
+        named_struct('s', x.i + 1, 'd', -1))))"""
+    return f"""aggregate(flatten(transform(array({at}), at -> array_sort({ends}))), named_struct('n', 0, 'best', 0),
+        (a, e) -> named_struct('n', a.n + e.d, 'best', greatest(a.best, a.n + e.d)), a -> a.best)"""
+
+
+def _matches(
+    templates: list[tuple[str, list[str], int]], order: dict[str, int], threshold: float, lines: str, across_lines: bool
+) -> str:
+    """SQL for an array of (label, containment) of the lines, and with ``across_lines`` the
+    windows, that match a template."""
     first: dict[str, list[str]] = {}
-    for label, words in templates:
+    known_templates = []
+    for number, (label, words, length) in enumerate(templates, 1):
         ranked = sorted(words, key=lambda w: (order[w], w))
         need = max(1, math.ceil(threshold * len(ranked) - 1e-9))
+        span = max(length, math.ceil(length / threshold - 1e-9)) if threshold > 0 else length
+        known_templates.append(
+            f"named_struct('label', {_sql(label)}, 'words', {_strings(ranked)}, 'need', {need}, 'span', {span})"
+        )
         for i, word in enumerate(ranked[: len(ranked) - need + 1]):
-            first.setdefault(word, []).append(
-                f"named_struct('label', {_sql(label)}, 'words', {_strings(ranked)}, 'need', {need}, 'left', {len(ranked) - i})"
-            )
+            first.setdefault(word, []).append(f"named_struct('t', {number}, 'left', {len(ranked) - i})")
     kind = "array<struct<label:string,containment:double>>"
     if not first:
         return f"cast(array() as {kind})"
     index = "map(" + ", ".join(f"{_sql(w)}, array({', '.join(e)})" for w, e in sorted(first.items())) + ")"
-    vocabulary = sorted({w for _, ws in templates for w in ws}, key=lambda w: (order[w], w))
+    table = f"array({', '.join(known_templates)})"
+    vocabulary = sorted({w for _, ws, _ in templates for w in ws}, key=lambda w: (order[w], w))
+
     # Words of a line that any template has, in the global order.
-    known = f"array_intersect({_strings(vocabulary)}, {_words('l')})"
+    def known(words: str) -> str:
+        return f"array_intersect({_strings(vocabulary)}, {words})"
+
     prefixes = f"array_intersect({_strings(sorted(first))}, b)"
     # left counts the template's words from the common one on, the slice those of the line.
-    candidates = f"""flatten(transform({prefixes}, w -> filter(element_at({index}, w), t ->
-        size(b) >= t.need and t.left >= t.need
-        and array_position(t.words, w) - 1 + size(b) - array_position(b, w) + 1 >= t.need)))"""
-    verified = f"""filter(transform({candidates}, t -> named_struct('label', t.label, 'need', t.need,
-        'common', size(array_intersect(t.words, b)), 'size', size(t.words))), t -> t.common >= t.need)"""
-    found = f"transform({verified}, t -> named_struct('label', t.label, 'containment', t.common / t.size))"
-    of_lines = f"flatten(transform(transform({lines}, l -> {known}), b -> {found}))"
-    return f"cast({of_lines} as {kind})"
+    candidates = f"""array_distinct(flatten(transform({prefixes}, w -> transform(filter(
+        transform(element_at({index}, w), c -> named_struct('t', element_at({table}, c.t), 'left', c.left)), c ->
+        size(b) >= c.t.need and c.left >= c.t.need
+        and array_position(c.t.words, w) - 1 + size(b) - array_position(b, w) + 1 >= c.t.need), c -> c.t))))"""
+
+    def found(common: str, passed: str) -> str:
+        counted = f"transform({passed}, t -> named_struct('label', t.label, 'need', t.need, 'size', size(t.words), 'common', {common}))"
+        return f"""transform(filter({counted}, t -> t.common >= t.need),
+            t -> named_struct('label', t.label, 'containment', t.common / t.size))"""
+
+    common = "size(array_intersect(t.words, b))"
+    of_lines = f"flatten(transform(transform({lines}, l -> {known(_words('l'))}), b -> {found(common, candidates)}))"
+    if not across_lines:
+        return f"cast({of_lines} as {kind})"
+    in_text = f"filter({candidates}, t -> {common} >= t.need)"
+    of_windows = f"""flatten(transform(array({_words('text')}), ws -> flatten(transform(
+        array({known('ws')}), b -> {found(_densest('t'), in_text)}))))"""
+    return f"cast(concat({of_lines}, {of_windows}) as {kind})"
 
 
 def scan(
@@ -109,14 +150,16 @@ def scan(
     threshold: float = THRESHOLD,
     id_column: str = "doc_id",
     text_column: str = "text",
+    across_lines: bool = False,
 ) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_words, n_base, first_word, last_word,
     base_labels, labels, score.
 
     A place is where the words of a phrase stand consecutively; ``first_word`` and
     ``last_word`` are the smallest and largest start of a place, from 0, null without one.
-    ``labels`` adds those of the templates that a line contains. ``score`` is 1 with a
-    place, else the best containment of a matching line, else 0.
+    ``labels`` adds those of the templates that a line, or with ``across_lines`` also a
+    window of consecutive words over any lines, contains. ``score`` is 1 with a place, else the best containment of a
+    matching line or window, else 0.
 
     Null and empty texts have no words. Repeated rows and null ids keep their rows; other
     columns are ignored; an empty table gives an empty result. Templates without words
@@ -124,27 +167,28 @@ def scan(
     """
     spark = docs.sparkSession
     templates = notices(spark) if templates is None else templates
-    rows = templates.select("label", _distinct(templates).alias("w")).limit(MOST_TEMPLATES + 1).collect()
+    length = F.regexp_count("text", F.lit(ANY_CASE)).alias("n")
+    rows = templates.select("label", _distinct(templates).alias("w"), length).limit(MOST_TEMPLATES + 1).collect()
     if len(rows) > MOST_TEMPLATES:
         raise ValueError(f"more than {MOST_TEMPLATES} templates")
-    known = [(r["label"], r["w"]) for r in rows if r["w"] and r["label"] is not None]
+    known = [(r["label"], r["w"], r["n"]) for r in rows if r["w"] and r["label"] is not None]
     docs = docs.select(F.col(id_column).alias("doc_id"), F.coalesce(F.col(text_column), F.lit("")).alias("text"))
-    vocabulary = sorted({w for _, ws in known for w in ws})
+    vocabulary = sorted({w for _, ws, _ in known for w in ws})
     order = frequencies(docs, vocabulary)
 
     prefix_words = set()
-    for _, words in known:
+    for _, words, _ in known:
         need = max(1, math.ceil(threshold * len(words) - 1e-9))
         prefix_words.update(sorted(words, key=lambda w: (order[w], w))[: len(words) - need + 1])
     hint = "(?i)" + "|".join(sorted(prefix_words)) if prefix_words else "(?!)"
-    # Only lines that hold a prefix word, whatever its surroundings, are taken apart.
+    # Only lines and texts that hold a prefix word, whatever its surroundings, are taken apart.
     lines = f"filter(split(text, '\\n', -1), l -> l rlike {_sql(hint)})"
 
     # Interpreted array code runs only on texts that hold what it looks for.
     ending = {p.split()[-1] for p, _ in PHRASES}
     has_phrase = " or ".join(f"text rlike {_sql(f'(?i){w}')}" for w in sorted(ending))
     docs = docs.withColumn("_w", F.expr(f"if({has_phrase}, {_words('text')}, cast(array() as array<string>))"))
-    docs = docs.withColumn("_m", F.expr(f"if(text rlike {_sql(hint)}, {_matches(known, order, threshold, lines)}, array())"))
+    docs = docs.withColumn("_m", F.expr(f"if(text rlike {_sql(hint)}, {_matches(known, order, threshold, lines, across_lines)}, array())"))
     parts = []
     for phrase, label in PHRASES:
         words = phrase.split()

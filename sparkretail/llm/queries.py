@@ -67,8 +67,8 @@ def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """License phrases and notices in every document."""
-    return licenses.scan(table(spark, sf_dir, "documents"))
+    """License phrases and notices in every document, also over line breaks."""
+    return licenses.scan(table(spark, sf_dir, "documents"), across_lines=True)
 
 
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

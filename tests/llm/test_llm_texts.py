@@ -2,6 +2,7 @@
 
 import hashlib
 import itertools
+import math
 import random
 import re
 
@@ -197,6 +198,44 @@ def test_licenses_equal_sql(spark, tmp_path):
     assert licenses.scan(docs.limit(0)).count() == 0
 
 
+def test_licenses_run_over_line_breaks(spark):
+    def densest(text, template, threshold=licenses.THRESHOLD):
+        words, inside = (re.findall("[0-9a-z\x80-\U0010ffff]+", t.lower()) for t in (text, template))
+        span = math.ceil(len(inside) / threshold - 1e-9)
+        best = max((len({*words[i : i + span]} & {*inside}) for i in range(len(words))), default=0)
+        return best / len({*inside}) if best >= math.ceil(threshold * len({*inside}) - 1e-9) else 0.0
+
+    r = random.Random(3)
+    texts = [
+        " * Redistribution and use in source and binary forms, with or without\n * modification, are permitted provided",
+        "# This Source Code Form is subject to the terms of the Mozilla Public\n# License, v. 2.0. If a copy",
+        "released\n\nunder " + "x " * 50 + "the MIT\nlicense",
+    ]
+    for _ in range(150):
+        words = " ".join(t for _, t in r.sample(licenses.NOTICES, 2)).split() + ["w"] * r.randrange(15)
+        if r.random() < 0.5:
+            words[r.randrange(len(words))] = "v"
+        if r.random() < 0.3:
+            r.shuffle(words)
+        texts.append("\n".join(words))  # no line holds two words
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {x.doc_id: x for x in licenses.scan(docs, across_lines=True).collect()}
+    assert (got[0].labels, got[0].score) == ("bsd", 1.0)
+    assert got[1].labels == "mpl-2.0" and got[1].score >= 0.8
+    for i, text in enumerate(texts):
+        best = {label: densest(text, t) for label, t in licenses.NOTICES}
+        base = set(filter(None, got[i].base_labels.split(",")))
+        assert got[i].labels == ",".join(sorted({k for k, v in best.items() if v} | base)), text
+        assert abs(got[i].score - (1.0 if base else max(best.values()))) < 1e-12
+
+    whole = "\n".join(" ".join(f"t{r.randrange(400)}" for _ in range(10)) for _ in range(60))
+    template = spark.createDataFrame([("whole", whole)], "label string, text string")
+    cut = "\n".join(line for i, line in enumerate(whole.split("\n")) if i % 3)
+    docs = spark.createDataFrame([(1, "a b\n" + whole + "\nc"), (2, cut)], "doc_id long, text string")
+    got = {x.doc_id: x for x in licenses.scan(docs, template, across_lines=True).collect()}
+    assert got[1].score == 1.0 and got[2].score == densest(cut, whole)
+
+
 # ---- packing ----
 def test_bounds_have_the_least_padding():
     r = random.Random(0)
