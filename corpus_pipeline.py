@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkretail.llm import decontaminate, ngram_join, packing, privacy, toxicity
 from sparkretail.llm.common import table
+from sparkretail.llm.queries import TOKENIZER
 from sparkretail.session import fresh_path
 
 
@@ -32,8 +34,8 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document's place in a batch."""
-    return packing.pack(docs)
+    """Every document's place in a batch, its length in tokens."""
+    return packing.pack(docs, tokenizer=public_tokenizers.path(TOKENIZER))
 
 
 STAGES = [

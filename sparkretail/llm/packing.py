@@ -14,6 +14,9 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sparkretail.llm.common import durable
+from sparkretail.llm.token_counts import count_tokens
+
 BUCKETS = 16
 BUDGET = 65_536  # padded tokens of a batch
 SHARD_ROWS = 8_192
@@ -92,21 +95,29 @@ def pack(
     budget: int = BUDGET,
     id_column: str = "doc_id",
     text_column: str = "text",
+    tokenizer: str | None = None,
 ) -> DataFrame:
     """One row per document: doc_id, n_tokens, bucket, padded_to, batch_id, slot, over_budget.
 
-    ``length`` gives the tokens of a document, by default its words. A batch holds
+    With ``tokenizer``, the path of a tokenizer file, lengths are its tokens, counted once
+    and written without the texts. Otherwise ``length`` gives the length of a document, by
+    default its words, which are no tokens: the budget then holds in that unit. A batch holds
     documents of one bucket; its rows times ``padded_to`` stay within ``budget``. A
     document whose bucket is wider than the budget is a batch of its own; ``over_budget``
     marks those that are longer than the budget themselves. Null and empty texts have
     length 0 and are packed too. Ties and repeated rows each get a slot; other columns are
     ignored; an empty table gives an empty result.
     """
-    rows = docs.select(
-        F.col(id_column).alias("doc_id"),
-        (word_count(text_column) if length is None else length.cast("long")).alias("n_tokens"),
-        F.coalesce(F.col(id_column).cast("long"), F.xxhash64(F.col(text_column))).alias("_deal"),
-    )
+    if tokenizer is not None and length is not None:
+        raise ValueError("either a length or a tokenizer")
+    deal = F.coalesce(F.col(id_column).cast("long"), F.xxhash64(F.col(text_column))).alias("_deal")
+    if tokenizer is None:
+        length = word_count(text_column) if length is None else length.cast("long")
+        rows = docs.select(F.col(id_column).alias("doc_id"), length.alias("n_tokens"), deal)
+    else:
+        key = F.struct(F.col(id_column).alias("doc_id"), deal).alias("key")
+        counted = count_tokens(docs.select(key, F.col(text_column).alias("text")), tokenizer, id_column="key")
+        rows = durable(counted.select("doc_id.doc_id", "n_tokens", "doc_id._deal"))
     bins = histogram(rows)
     bounds = boundaries(bins, buckets)
     if not bounds:

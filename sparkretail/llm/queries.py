@@ -32,8 +32,8 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document's length bucket and batch."""
-    return packing.pack(table(spark, sf_dir, "documents"))
+    """Every document's length bucket and batch, in tokens of the word-end BPE vocabulary."""
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer=public_tokenizers.path(TOKENIZER))
 
 
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

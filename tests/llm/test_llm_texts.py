@@ -11,7 +11,8 @@ import public_tokenizers
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from sparkretail.llm import decontaminate, licenses, packing, page_text, privacy, token_counts
+import corpus_pipeline
+from sparkretail.llm import decontaminate, licenses, packing, page_text, privacy, queries, token_counts
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 
@@ -269,3 +270,23 @@ def test_batches_hold_every_row_once_within_the_budget(spark, monkeypatch):
         assert b.rows * b.padded_to <= 1000 or b.rows == 1
     assert [x.over_budget for x in got if x.doc_id == 7000] == [True]
     assert packing.pack(docs.limit(0)).count() == 0
+
+
+def test_the_budget_holds_in_tokens(spark, tmp_path):
+    r = random.Random(4)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    texts = ["日本語" * 500, "word " * 40, "", None, "".join(r.choice(letters) for _ in range(300_000))]
+    texts += ["".join(r.choice(letters) for _ in range(r.randrange(1, 4000))) for _ in range(200)]
+    tokenizer = Tokenizer.from_file(PATH)
+    tokens = [len(e.ids) for e in tokenizer.encode_batch([t or "" for t in texts], add_special_tokens=False)]
+    rows = [(i if i % 7 else None, t) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("key", F.lit("x"))
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    expected = sorted((d or -1, n) for (d, _), n in zip(rows, tokens, strict=True))
+    for packed in (queries.op2_packing(spark, str(tmp_path)), corpus_pipeline.pack(spark, docs, "")):
+        got = packed.collect()
+        assert sorted((x.doc_id or -1, x.n_tokens) for x in got) == expected
+        assert [x.doc_id for x in got if x.over_budget] == [4]
+        for b in packing.batches(packed).collect():
+            assert b.rows * b.padded_to <= packing.BUDGET or b.rows == 1
+    assert corpus_pipeline.pack(spark, docs.limit(0), "").count() == 0
