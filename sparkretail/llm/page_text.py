@@ -211,7 +211,7 @@ def _nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = {"host": [], "page": [], "path": [], "parent": [], "article": [], "layout": [], "texts": []}
         for url, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             blocks, layouts = parse(page or "")
-            host, digest = host_of(url), number(page or "")
+            host, digest = host_of(url), number(",".join(map(str, sorted({number(b[2]) for b in blocks}))))
             nodes: dict[str, tuple[str, bool, set[int]]] = {}
             for path, parent, text, article in blocks:
                 nodes.setdefault(path, (parent, article, set()))[2].add(number(text))
@@ -238,10 +238,17 @@ def style_tree(pages: DataFrame) -> DataFrame:
 
     content = 1 - mean over the node's texts of log(pages with the text) / log(pages);
     presentation = - sum p log p / log(pages) over the layouts of the parent. Both are 1
-    for a single page. Pages of equal source count once.
+    for a single page. Pages with an equal set of texts, those of the article where one is
+    marked, count once: variants of one page do not make its article a text of the layout.
     """
     nodes = pages.select("url", "html").mapInArrow(_nodes, NODES)
-    once = durable(nodes.dropDuplicates(["host", "page", "path"]))
+    # Pages of one set of texts may differ in layout: the smallest values stand for them.
+    once = durable(
+        nodes.groupBy("host", "page", "path").agg(
+            F.min("parent").alias("parent"), F.max("article").alias("article"),
+            F.min("layout").alias("layout"), F.min("texts").alias("texts"),
+        )
+    )
     shown = once.groupBy("host", "path").agg(
         F.count("*").alias("pages"), F.max("article").alias("article"), F.min("parent").alias("parent")
     )
@@ -271,7 +278,10 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for page, cut in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
             blocks, _ = parse(page or "")
             low = set(cut or ())
-            texts.append("\n\n".join(b[2] for b in blocks if not low or number(b[0]) not in low))
+            kept = [b for b in blocks if not low or number(b[0]) not in low]
+            if not kept and any(b[3] for b in blocks):
+                kept = blocks  # the tree never takes the whole article
+            texts.append("\n\n".join(b[2] for b in kept))
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
             names=["page_id", "url", "text", "n_chars"],

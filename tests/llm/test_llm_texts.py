@@ -182,6 +182,20 @@ def test_the_tree_cuts_what_all_pages_show(spark):
     assert page_text.extract(pages.limit(0)).count() == 0
 
 
+def test_articles_of_page_variants_stay(spark):
+    body = "<body><nav>menu {0}</nav><article><h1>{1}</h1><p>first {2}</p><p>second {2}</p></article><div class='ad'>buy {0}</div></body>"
+    rows = [(i, f"http://h.org/{i}", body.format(i, "One title", "text")) for i in range(12)]
+    rows += [(20 + i, f"http://n.org/{i}", body.format(i, "Near copy", "alike").replace("</h1>", f"</h1><p>date {i}</p>")) for i in range(12)]
+    rows += [(40 + i, f"http://m.org/{i}", body.format(i, "One title", "text")) for i in range(30)]
+    rows += [(80 + i, f"http://m.org/o{i}", body.format(i, f"Title {i}", f"other {i}")) for i in range(10)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    for nodes in (100, -1):
+        got = {r.page_id: r.text for r in page_text.extract(pages, broadcast_nodes=nodes).collect()}
+        assert {got[i] for i in [*range(12), *range(40, 70)]} == {"One title\n\nfirst text\n\nsecond text"}
+        assert all("first alike" in got[20 + i] and "second alike" in got[20 + i] for i in range(12))
+        assert all(got[80 + i] == f"Title {i}\n\nfirst other {i}\n\nsecond other {i}" for i in range(10))
+
+
 # ---- licenses ----
 def test_licenses_equal_sql(spark, tmp_path):
     import duckdb
