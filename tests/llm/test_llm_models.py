@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 import corpus_pipeline
 from sparkretail.llm import quality, queries, toxicity
-from sparkretail.llm.common import table
+from sparkretail.llm.common import held_out, table
+from sparkretail.llm.labelled import training_rows
 
 SF = "/root/testdata/sf0.01"
 
@@ -111,3 +112,14 @@ def test_all_are_registered():
     names = entry.queries()
     assert {f"op{n}" for n in range(1, 11)} | {"pipeline"} <= {n.split("_")[0] for n in names}
     assert set(entry.oracle_sql()) <= set(names)
+
+
+def test_a_repeated_id_is_one_training_row(spark):
+    rows = [(1, f"copy {i}") for i in range(50)] + [(2, "b"), (3, None), (4, "d"), (None, "e")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1) for i in (1, 2, 3, 4, 1)], "doc_id long, quality int")
+    known = {r.doc_id for r in labels.where(~held_out()).collect()}
+    got = training_rows(docs, labels, "quality", 10).collect()
+    assert 1 in known and sorted(r.doc_id for r in got) == sorted(known)
+    again = training_rows(docs.repartition(5), labels, "quality", 10).collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, again)) and got[0].asDict().keys() == {"doc_id", "text", "y"}
