@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkretail.llm import (
+    bpe_codec,
     decontaminate,
     licenses,
     ngram_join,
@@ -76,11 +77,24 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every document and the text they decode to, as digests."""
+    path = public_tokenizers.path(TOKENIZER)
+    encoded = bpe_codec.encode_texts(table(spark, sf_dir, "documents"), path)
+    decoded = bpe_codec.decode_ids(encoded.select(F.struct("doc_id", "ids").alias("key"), "ids"), path, "key")
+    return decoded.select(
+        "doc_id.doc_id",
+        (F.octet_length("doc_id.ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("doc_id.ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     q.__name__: q
     for q in (
         op1_decontamination, op2_packing, op3_token_counts, op4_quality, op5_topk, op6_personal_data,
-        op7_page_text, op8_ngram_join, op9_licenses, op10_toxicity,
+        op7_page_text, op8_ngram_join, op9_licenses, op10_toxicity, op13_bpe,
     )
 }
 

@@ -9,41 +9,23 @@ operations, whatever the number of sequences.
 
 from __future__ import annotations
 
-import json
-import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-PIECE = 1 << 20  # characters handled at once
-KNOWN = 400_000  # pre-tokens a task remembers before it starts anew
-NEVER = np.iinfo(np.int64).max
-
+from sparkretail.llm.pretokens import PIECE, Splitter, byte_alphabet, pieces, read_spec, words
 
-def byte_alphabet() -> list[str]:
-    """The printable stand-in of each byte in byte-level vocabularies."""
-    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    rest = [b for b in range(256) if b not in set(plain)]
-    names = {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
-    return [names[b] for b in range(256)]
+KNOWN = 200_000  # words, and pre-tokens, a task remembers before it starts anew
+NEVER = np.iinfo(np.int64).max
 
 
 def load(path: str) -> dict:
     """Arrays of a tokenizer file: symbols of bytes, ranked pairs and what they become."""
-    with open(path, encoding="utf-8") as file:
-        spec = json.load(file)
+    spec = read_spec(path)
     model, suffix = spec["model"], spec["model"]["end_of_word_suffix"]
-    kinds = [n["type"] for n in spec["normalizer"]["normalizers"]]
-    split, level = spec["pre_tokenizer"]["pretokenizers"]
-    if (model["type"], kinds, level["type"]) != ("BPE", ["NFC", "Replace", "Lowercase"], "ByteLevel") or not suffix:
-        raise ValueError("a byte-level BPE with word ends, NFC and lower case is expected")
-    specials = spec["added_tokens"]
-    if any(t["normalized"] or t["lstrip"] or t["rstrip"] or t["single_word"] for t in specials):
-        raise ValueError("added tokens with matching rules of their own are not supported")
     vocab = model["vocab"]
     letters = byte_alphabet()
     pairs = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
@@ -58,8 +40,8 @@ def load(path: str) -> dict:
         "keys": keys[order],
         "ranks": np.arange(len(keys))[order],
         "made": made[order],
-        "pattern": split["pattern"]["Regex"],
-        "specials": [t["content"] for t in specials],
+        "pattern": spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"],
+        "specials": [t["content"] for t in spec["added_tokens"]],
     }
 
 
@@ -99,49 +81,35 @@ def surviving_symbols(tokens: list[bytes], table: dict) -> np.ndarray:
     return left
 
 
-def pieces(text: str) -> Iterator[str]:
-    """A long text in parts that end at white space, where no pre-token and no composed
-    character crosses; a stretch without white space stays whole."""
-    start = 0
-    while len(text) - start > PIECE:
-        gap = regex.compile(r"\s").search(text, start + PIECE)
-        if gap is None:
-            break
-        yield text[start : gap.end()]
-        start = gap.end()
-    yield text[start:]
-
-
 class Counter:
-    """Counts tokens of texts; remembers the pre-tokens it has met."""
+    """Counts tokens of texts; remembers the words it has met and their pre-tokens."""
 
     def __init__(self, table: dict):
         self.table = table
+        self.split = Splitter(table["pattern"], table["specials"]).split
         self.known: dict[str, int] = {}
-        self.find = regex.compile(table["pattern"]).findall
-        marks = "|".join(regex.escape(s) for s in sorted(table["specials"], key=len, reverse=True))
-        self.marks = regex.compile(marks) if marks else None
-
-    def pre_tokens(self, text: str) -> tuple[list[str], int]:
-        """Pre-tokens in order, and the special strings, which are one token each."""
-        parts = self.marks.split(text) if self.marks else [text]
-        found: list[str] = []
-        for part in parts:
-            # Letter by letter: the form of a final sigma does not depend on its place.
-            found += self.find(unicodedata.normalize("NFC", part).replace("Σ", "σ").lower())
-        return found, len(parts) - 1
+        self.pre_tokens: dict[str, int] = {}
+
+    def learn(self, new: list[str]) -> None:
+        """Counts of words that are not known: their pre-tokens, each counted once."""
+        split = [self.split(word) for word in new]
+        tokens = {t for parts in split for t, special in parts if not special}
+        unknown = [t for t in tokens if t not in self.pre_tokens]
+        if unknown:
+            left = surviving_symbols([t.encode("utf-8") for t in unknown], self.table)
+            self.pre_tokens.update(zip(unknown, left.tolist(), strict=True))
+        for word, parts in zip(new, split, strict=True):
+            self.known[word] = sum(1 if special else self.pre_tokens[t] for t, special in parts)
 
     def counts(self, texts: list[str]) -> list[int]:
-        split = [self.pre_tokens(t) for t in texts]
-        new = list(set().union(*(s[0] for s in split)) - self.known.keys())
-        if len(self.known) + len(new) > KNOWN:
-            self.known = {}
-            new = list(set().union(*(s[0] for s in split)))
+        if len(self.known) > KNOWN or len(self.pre_tokens) > KNOWN:
+            self.known, self.pre_tokens = {}, {}
+        found = [words(t) for t in texts]
+        new = [word for word in set().union(*found) if word not in self.known]
         if new:
-            left = surviving_symbols([t.encode("utf-8") for t in new], self.table)
-            self.known.update(zip(new, left.tolist(), strict=True))
+            self.learn(new)
         get = self.known.__getitem__
-        return [sum(map(get, found)) + marks for found, marks in split]
+        return [sum(map(get, f)) for f in found]
 
     def groups(self, texts: list[str]) -> list[int]:
         """Counts of whole texts, worked off in groups of about ``PIECE`` characters."""
