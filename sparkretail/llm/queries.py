@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from sparkretail.llm import (
     bpe_codec,
+    conversations,
     decontaminate,
     licenses,
     ngram_join,
@@ -77,6 +78,11 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op12_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cheapest repair of every conversation after a fixed damage."""
+    return conversations.damaged_report(table(spark, sf_dir, "conversations"))
+
+
 def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of every document and the text they decode to, as digests."""
     path = public_tokenizers.path(TOKENIZER)
@@ -94,7 +100,7 @@ QUERIES: dict[str, Query] = {
     q.__name__: q
     for q in (
         op1_decontamination, op2_packing, op3_token_counts, op4_quality, op5_topk, op6_personal_data,
-        op7_page_text, op8_ngram_join, op9_licenses, op10_toxicity, op13_bpe,
+        op7_page_text, op8_ngram_join, op9_licenses, op10_toxicity, op12_conversations, op13_bpe,
     )
 }
 
