@@ -1,8 +1,8 @@
 """Byte-pair encoding and decoding of whole texts in time linear in their length.
 
-Encoding backtracks: at each place the longest token that stands there, found for all
-places of a pre-token in one Aho-Corasick pass, is taken if it is compatible with the
-token before it, else the next shorter one, else the token before gives way. Two tokens
+Encoding backtracks: at each place the longest token that stands there, found by an
+Aho-Corasick automaton, is taken if it is compatible with the token before it, else the
+next shorter one, else the token before gives way. Two tokens
 are compatible if merging the letters of both would leave them apart; a row of pairwise
 compatible tokens is what merging by rank gives, and it is the only one. A place from
 which no row went on is never entered again, so each place is left at most once per token
@@ -13,15 +13,16 @@ Decoding looks each id up in a table of offsets into one string of all tokens.
 
 from __future__ import annotations
 
+import struct
 from collections.abc import Iterator
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkretail.llm.pretokens import Splitter, byte_alphabet, pieces, read_spec, words
+from sparkretail.llm.pretokens import Splitter, byte_alphabet, full_pattern, pieces, read_spec, words
 
 KNOWN = 200_000  # words a task remembers before it starts anew
 LONGEST_KNOWN = 64  # longer words are encoded at each occurrence
@@ -36,6 +37,7 @@ def load(path: str) -> dict:
     spec = read_spec(path)
     model = spec["model"]
     suffix, vocab = model["end_of_word_suffix"], dict(model["vocab"])
+    pattern = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
     pairs = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]]
     contents = {t["content"]: t["id"] for t in spec["added_tokens"]}
     names = {i: t for t, i in vocab.items()} | {i: t for t, i in contents.items()}
@@ -43,7 +45,8 @@ def load(path: str) -> dict:
         "suffix": suffix,
         "vocab": vocab,
         "merges": [(vocab[a], vocab[b], vocab[a + b]) for a, b in pairs],
-        "pattern": spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"],
+        "pattern": pattern,
+        "full": full_pattern(pattern),
         "specials": contents,
         "names": [names.get(i) for i in range(max(names) + 1)],
     }
@@ -51,7 +54,7 @@ def load(path: str) -> dict:
 
 class Encoder:
     def __init__(self, table: dict):
-        self.split = Splitter(table["pattern"], list(table["specials"])).split
+        self.split = Splitter(table["pattern"], table["full"], list(table["specials"])).split
         self.specials = table["specials"]
         letters = byte_alphabet()
         byte_of = {c: chr(b) for b, c in enumerate(letters)}
@@ -67,6 +70,7 @@ class Encoder:
             self.rank[a * size + b] = rank
         self.pairs: dict[int, bool] = {}
         self.known: dict[str, bytes] = {}
+        self.encoded: dict[str, list[int]] = {}
         spelled = {}
         for token in [*letters, *(c + suffix for c in letters), *(t for t in vocab if self.made[vocab[t]] >= 0)]:
             number, end = vocab[token], token.endswith(suffix) and token != suffix
@@ -76,12 +80,13 @@ class Encoder:
                 spelled["".join(byte_of[c] for c in body) + END * end] = number
         self.length = [0] * size
         self.shorter = [-1] * size  # the longest token that starts a token
-        self.automaton = ahocorasick.Automaton()
+        automaton = ahocorasick.Automaton()
         for text, number in spelled.items():
             self.length[number] = len(text)
-            self.automaton.add_word(text[::-1], number)
+            automaton.add_word(text, number)
             self.shorter[number] = next((spelled[text[:k]] for k in range(len(text) - 1, 0, -1) if text[:k] in spelled), -1)
-        self.automaton.make_automaton()
+        automaton.make_automaton()
+        self.matches = automaton.iter_long  # longest tokens, each from where the last ended
 
     def _apart(self, left: int, right: int, before: int = ALWAYS) -> bool:
         """Whether no merge ranked below ``before`` crosses the border of two tokens.
@@ -113,55 +118,72 @@ class Encoder:
     def encode(self, pre_token: str) -> list[int]:
         """Tokens of one pre-token, which is not empty."""
         text = pre_token.encode("utf-8").decode("latin-1") + END
-        size = len(text)
-        # Matches in the reversed text end where tokens start; of each place the first,
-        # which is the longest, is kept.
-        longest = [-1] * size
-        for stop, token in self.automaton.iter(text[::-1]):
-            if longest[size - 1 - stop] < 0:
-                longest[size - 1 - stop] = token
+        size, vocabulary, judged = len(text), self.size, self.pairs.get
+
+        def fits(token: int) -> bool:
+            if not out:
+                return True
+            found = judged(out[-1] * vocabulary + token)
+            return self.compatible(out[-1], token) if found is None else found
+
+        # Longest matches one after the other are most often the answer.
+        out: list[int] = []
+        at, token = 0, -1
+        for last, token in self.matches(text):
+            if not fits(token):
+                break
+            out.append(token)
+            at = last + 1
+        else:
+            token = -1
+        if at == size:
+            return out
+        length, shorter = self.length, self.shorter
         open_ = bytearray(b"\1") * (size + 1)
         open_[size - 1] = 0  # the end of the word is no token of its own
-        out: list[int] = []
-        at, token = 0, longest[0]
-        while at < size:
-            stop = at + self.length[token]
-            if open_[stop] and (not out or self.compatible(out[-1], token)):
-                out.append(token)
-                at = stop
-                token = longest[at] if at < size else -1
-                continue
-            token = self.shorter[token]
+        while True:
+            token = shorter[token] if token >= 0 else -1
             while token < 0:
                 open_[at] = 0
                 last = out.pop()
-                at -= self.length[last]
-                token = self.shorter[last]
-        return out
+                at -= length[last]
+                token = shorter[last]
+            while open_[at + length[token]] and fits(token):
+                out.append(token)
+                at += length[token]
+                if at == size:
+                    return out
+                token = next(self.matches(text, at))[1]
 
     def word(self, word: str) -> bytes:
         """Ids of what stands between two spaces, as little-endian 32-bit integers."""
         ids: list[int] = []
         for token, special in self.split(word):
-            ids += [self.specials[token]] if special else self.encode(token)
-        return np.array(ids, "<u4").tobytes()
+            if special:
+                ids.append(self.specials[token])
+            elif len(token) > LONGEST_KNOWN:
+                ids += self.encode(token)
+            else:
+                found = self.encoded.get(token)
+                if found is None:
+                    found = self.encoded[token] = self.encode(token)
+                ids += found
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def text(self, text: str) -> bytes:
         known, out = self.known, []
         for piece in pieces(text):
+            if len(known) > KNOWN or len(self.encoded) > KNOWN:
+                known.clear()
+                self.encoded.clear()
             found = words(piece)
-            long = False
-            for word in set(found):
-                if len(word) > LONGEST_KNOWN:
-                    long = True
-                elif word not in known:
-                    known[word] = self.word(word)
-            if long:
-                out += [known[w] if len(w) <= LONGEST_KNOWN else self.word(w) for w in found]
+            new = set(found).difference(known)
+            once = {w for w in new if len(w) > LONGEST_KNOWN}
+            known.update((w, self.word(w)) for w in new - once)
+            if once:
+                out += [self.word(w) if w in once else known[w] for w in found]
             else:
                 out += map(known.__getitem__, found)
-            if len(known) > KNOWN:
-                known.clear()
         return b"".join(out)
 
 
@@ -186,24 +208,29 @@ class Decoder:
         return b"".join(out)[1:].decode("utf-8")
 
 
-def _mapped(df: DataFrame, id_column: str, value, name: str, kind: pa.DataType, make) -> DataFrame:
-    """``doc_id`` and what ``make()(value)`` gives for each row, in batches of bounded size."""
+def _mapped(df: DataFrame, path: str, id_column: str, value: Column, results: dict[str, str], make) -> DataFrame:
+    """``doc_id`` and the results of ``make(tables)(value)`` for each row, in batches of
+    bounded size. Nothing is shuffled; a worker keeps what it made between its tasks."""
     chosen = df.select(F.col(id_column).alias("doc_id"), value.alias("value"))
     id_kind = chosen.schema["doc_id"].dataType.simpleString()
+    held = df.sparkSession.sparkContext.broadcast({"tables": load(path)})
+    kinds = [pa.binary() if kind == "binary" else pa.string() for kind in results.values()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        convert = make()
+        tables = held.value
+        convert = tables.get("made") or tables.setdefault("made", make(tables["tables"]))
         for batch in batches:
-            start, held, size = 0, [], 0
+            start, out, size = 0, [], 0
             for i, item in enumerate(batch.column(1)):
-                held.append(convert(item.as_py()))
-                size += len(held[-1])
+                out.append(convert(item.as_py()))
+                size += sum(map(len, out[-1]))
                 if size >= FLUSH or i == len(batch) - 1:
-                    ids = batch.column(0).slice(start, len(held))
-                    yield pa.RecordBatch.from_arrays([ids, pa.array(held, kind)], names=["doc_id", name])
-                    start, held, size = i + 1, [], 0
+                    columns = [pa.array(c, kind) for c, kind in zip(zip(*out), kinds)]
+                    ids = batch.column(0).slice(start, len(out))
+                    yield pa.RecordBatch.from_arrays([ids, *columns], names=["doc_id", *results])
+                    start, out, size = i + 1, [], 0
 
-    return chosen.mapInArrow(run, f"doc_id {id_kind}, {name} {'binary' if kind == pa.binary() else 'string'}")
+    return chosen.mapInArrow(run, ", ".join([f"doc_id {id_kind}", *(f"{n} {k}" for n, k in results.items())]))
 
 
 def encode_texts(docs: DataFrame, path: str, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -216,9 +243,13 @@ def encode_texts(docs: DataFrame, path: str, id_column: str = "doc_id", text_col
     Other columns are ignored, whatever their names; an empty table gives an empty result.
     Nothing is shuffled; the vocabulary, a few megabytes, is sent to the executors.
     """
-    table = docs.sparkSession.sparkContext.broadcast(load(path))
+
+    def make(tables: dict):
+        encode = Encoder(tables).text
+        return lambda text: (encode(text),)
+
     text = F.coalesce(F.col(text_column), F.lit(""))
-    return _mapped(docs, id_column, text, "ids", pa.binary(), lambda: Encoder(table.value).text)
+    return _mapped(docs, path, id_column, text, {"ids": "binary"}, make)
 
 
 def decode_ids(encoded: DataFrame, path: str, id_column: str = "doc_id", ids_column: str = "ids") -> DataFrame:
@@ -230,6 +261,27 @@ def decode_ids(encoded: DataFrame, path: str, id_column: str = "doc_id", ids_col
     text. Repeated rows, null ids of documents, other columns and empty tables as in
     ``encode_texts``.
     """
-    table = encoded.sparkSession.sparkContext.broadcast(load(path))
+
+    def make(tables: dict):
+        decode = Decoder(tables).text
+        return lambda ids: (decode(ids),)
+
     ids = F.coalesce(F.col(ids_column), F.lit(b""))
-    return _mapped(encoded, id_column, ids, "decoded", pa.string(), lambda: Decoder(table.value).text)
+    return _mapped(encoded, path, id_column, ids, {"decoded": "string"}, make)
+
+
+def round_trip(docs: DataFrame, path: str, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """(doc_id, ids, decoded) per row: ``encode_texts`` and ``decode_ids`` of its result in
+    one pass."""
+
+    def make(tables: dict):
+        encode, decode = Encoder(tables).text, Decoder(tables).text
+
+        def convert(text: str) -> tuple[bytes, str]:
+            ids = encode(text)
+            return ids, decode(ids)
+
+        return convert
+
+    text = F.coalesce(F.col(text_column), F.lit(""))
+    return _mapped(docs, path, id_column, text, {"ids": "binary", "decoded": "string"}, make)

@@ -11,6 +11,7 @@ import json
 import re
 import unicodedata
 from collections.abc import Iterable, Iterator
+from functools import cache
 
 PIECE = 1 << 20  # characters handled at once
 
@@ -80,6 +81,13 @@ def category_ranges(kind: str, more: tuple[tuple[int, int], ...]) -> str:
     return class_body(ranges)
 
 
+@cache
+def full_pattern(pattern: str) -> str:
+    """A pattern with the classes of letters, numbers and spaces spelled out."""
+    letters, numbers = category_ranges("L", NEW_LETTERS), category_ranges("N", NEW_NUMBERS)
+    return pattern.replace(r"\p{L}", letters).replace(r"\p{N}", numbers).replace(r"\s", SPACES)
+
+
 def byte_alphabet() -> list[str]:
     """The printable stand-in of each byte in byte-level vocabularies."""
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -125,20 +133,16 @@ def words(text: str) -> list[str]:
 class Splitter:
     """Splits words into pre-tokens; special strings come out as they are."""
 
-    def __init__(self, pattern: str, specials: list[str]):
+    def __init__(self, pattern: str, full: str, specials: list[str]):
+        """``full`` is ``full_pattern(pattern)``, made once on the driver."""
         plain = pattern.replace(r"\p{L}", "A-Za-z").replace(r"\p{N}", "0-9").replace(r"\s", SPACES)
-        self.ascii = re.compile(plain).findall
-        self.pattern, self.any = pattern, None
+        self.ascii, self.any = re.compile(plain).findall, re.compile(full).findall
         marks = "|".join(re.escape(s) for s in sorted(specials, key=len, reverse=True))
         self.marks = re.compile(f"({marks})") if marks else None
 
     def _find(self, part: str) -> list[str]:
         if part.isascii():
             return self.ascii(part.lower())
-        if self.any is None:
-            letters, numbers = category_ranges("L", NEW_LETTERS), category_ranges("N", NEW_NUMBERS)
-            full = self.pattern.replace(r"\p{L}", letters).replace(r"\p{N}", numbers).replace(r"\s", SPACES)
-            self.any = re.compile(full).findall
         # Letter by letter: the form of a final sigma does not depend on its place.
         return self.any(normal_form(part).translate(_LOWER).lower())
 

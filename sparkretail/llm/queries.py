@@ -85,13 +85,10 @@ def op12_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of every document and the text they decode to, as digests."""
-    path = public_tokenizers.path(TOKENIZER)
-    encoded = bpe_codec.encode_texts(table(spark, sf_dir, "documents"), path)
-    decoded = bpe_codec.decode_ids(encoded.select(F.struct("doc_id", "ids").alias("key"), "ids"), path, "key")
-    return decoded.select(
-        "doc_id.doc_id",
-        (F.octet_length("doc_id.ids") / 4).cast("long").alias("n_tokens"),
-        F.sha2("doc_id.ids", 256).alias("ids_sha256"),
+    return bpe_codec.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER)).select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
     )
 

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkretail.llm.pretokens import PIECE, Splitter, byte_alphabet, pieces, read_spec, words
+from sparkretail.llm.pretokens import PIECE, Splitter, byte_alphabet, full_pattern, pieces, read_spec, words
 
 KNOWN = 200_000  # words, and pre-tokens, a task remembers before it starts anew
 NEVER = np.iinfo(np.int64).max
@@ -26,6 +26,7 @@ def load(path: str) -> dict:
     """Arrays of a tokenizer file: symbols of bytes, ranked pairs and what they become."""
     spec = read_spec(path)
     model, suffix = spec["model"], spec["model"]["end_of_word_suffix"]
+    pattern = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
     vocab = model["vocab"]
     letters = byte_alphabet()
     pairs = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
@@ -40,7 +41,8 @@ def load(path: str) -> dict:
         "keys": keys[order],
         "ranks": np.arange(len(keys))[order],
         "made": made[order],
-        "pattern": spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"],
+        "pattern": pattern,
+        "full": full_pattern(pattern),
         "specials": [t["content"] for t in spec["added_tokens"]],
     }
 
@@ -86,7 +88,7 @@ class Counter:
 
     def __init__(self, table: dict):
         self.table = table
-        self.split = Splitter(table["pattern"], table["specials"]).split
+        self.split = Splitter(table["pattern"], table["full"], table["specials"]).split
         self.known: dict[str, int] = {}
         self.pre_tokens: dict[str, int] = {}
 
@@ -105,7 +107,7 @@ class Counter:
         if len(self.known) > KNOWN or len(self.pre_tokens) > KNOWN:
             self.known, self.pre_tokens = {}, {}
         found = [words(t) for t in texts]
-        new = [word for word in set().union(*found) if word not in self.known]
+        new = list(set().union(*found).difference(self.known))
         if new:
             self.learn(new)
         get = self.known.__getitem__
