@@ -22,9 +22,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkretail.llm.pretokens import Splitter, byte_alphabet, full_pattern, pieces, read_spec, words
+from sparkretail.llm.pretokens import SPECIAL, Splitter, byte_alphabet, pieces, read_spec, spelled_out
 
-KNOWN = 200_000  # words a task remembers before it starts anew
+KNOWN = 300_000  # words a task remembers before it starts anew
 LONGEST_KNOWN = 64  # longer words are encoded at each occurrence
 PAIRS = 1_000_000  # judged pairs a task remembers
 FLUSH = 16 << 20  # bytes of results in a batch
@@ -45,8 +45,7 @@ def load(path: str) -> dict:
         "suffix": suffix,
         "vocab": vocab,
         "merges": [(vocab[a], vocab[b], vocab[a + b]) for a, b in pairs],
-        "pattern": pattern,
-        "full": full_pattern(pattern),
+        "spelled": spelled_out(pattern),
         "specials": contents,
         "names": [names.get(i) for i in range(max(names) + 1)],
     }
@@ -54,7 +53,7 @@ def load(path: str) -> dict:
 
 class Encoder:
     def __init__(self, table: dict):
-        self.split = Splitter(table["pattern"], table["full"], list(table["specials"])).split
+        self.splitter = Splitter(table["spelled"], list(table["specials"]))
         self.specials = table["specials"]
         letters = byte_alphabet()
         byte_of = {c: chr(b) for b, c in enumerate(letters)}
@@ -157,11 +156,11 @@ class Encoder:
 
     def word(self, word: str) -> bytes:
         """Ids of what stands between two spaces, as little-endian 32-bit integers."""
+        if word.startswith(SPECIAL):
+            return struct.pack("<I", self.specials[word[1:]])
         ids: list[int] = []
-        for token, special in self.split(word):
-            if special:
-                ids.append(self.specials[token])
-            elif len(token) > LONGEST_KNOWN:
+        for token in self.splitter.split(word):
+            if len(token) > LONGEST_KNOWN:
                 ids += self.encode(token)
             else:
                 found = self.encoded.get(token)
@@ -176,7 +175,7 @@ class Encoder:
             if len(known) > KNOWN or len(self.encoded) > KNOWN:
                 known.clear()
                 self.encoded.clear()
-            found = words(piece)
+            found = self.splitter.words(piece)
             new = set(found).difference(known)
             once = {w for w in new if len(w) > LONGEST_KNOWN}
             known.update((w, self.word(w)) for w in new - once)

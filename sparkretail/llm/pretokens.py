@@ -1,8 +1,8 @@
 """Pre-tokens of a text as a tokenizer file describes them: normalised, lower case, split.
 
-Texts are first cut at spaces and line feeds. No pre-token, composed character or special
-string crosses one, so each distinct piece is normalised and split once, however often it
-occurs.
+Texts are normalised as a whole and cut at spaces and line feeds. No pre-token, composed
+character or special string crosses one, so each distinct word is split once, however
+often it occurs.
 """
 
 from __future__ import annotations
@@ -13,7 +13,10 @@ import unicodedata
 from collections.abc import Iterable, Iterator
 from functools import cache
 
+import regex
+
 PIECE = 1 << 20  # characters handled at once
+SPECIAL = "\ud800"  # starts the word of a special string; no text holds it
 
 # What Unicode 16 added to the letters and numbers of Python's tables (15.1).
 # The tokenizer library classes characters by Unicode 16.
@@ -50,7 +53,7 @@ UNMOVED = (
 )
 # The characters of the White_Space property.
 SPACES = r"\t\n\x0b\x0c\r\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-_LOWER = str.maketrans({**NEW_LOWER, ord("Σ"): "σ"})
+_LOWER = str.maketrans(NEW_LOWER)
 
 
 def class_body(ranges: Iterable[tuple[int, int]]) -> str:
@@ -58,13 +61,23 @@ def class_body(ranges: Iterable[tuple[int, int]]) -> str:
 
 
 _UNMOVED = re.compile(f"([{class_body(UNMOVED)}]+)")
+_LATE = re.compile("[\u07fd-\U0010ffff]").search  # all that needs a second look is here
+_RARE = re.compile(f"[{class_body([*UNMOVED, *((c, c) for c in NEW_LOWER)])}]").search
+_BEYOND_LATIN = re.compile("[^\x00-\xff]").search
 
 
-def normal_form(text: str) -> str:
-    """NFC by the library's tables."""
-    parts = _UNMOVED.split(text)
-    parts[::2] = [unicodedata.normalize("NFC", p) for p in parts[::2]]
-    return "".join(parts)
+def normalised(text: str) -> str:
+    """NFC and lower case by the library's tables."""
+    if text.isascii():
+        return text.lower()
+    if _LATE(text) and _RARE(text):
+        parts = _UNMOVED.split(text)
+        parts[::2] = [unicodedata.normalize("NFC", p) for p in parts[::2]]
+        text = "".join(parts).translate(_LOWER)
+    else:
+        text = unicodedata.normalize("NFC", text)
+    # Letter by letter: the form of a final sigma does not depend on its place.
+    return text.replace("Σ", "σ").lower()
 
 
 def category_ranges(kind: str, more: tuple[tuple[int, int], ...]) -> str:
@@ -82,10 +95,27 @@ def category_ranges(kind: str, more: tuple[tuple[int, int], ...]) -> str:
 
 
 @cache
-def full_pattern(pattern: str) -> str:
-    """A pattern with the classes of letters, numbers and spaces spelled out."""
+def spelled_out(pattern: str) -> dict[str, str]:
+    """A pattern with its classes of letters, numbers and spaces spelled out: ``latin`` for
+    texts below U+0100, ``full`` for all. ``known`` serves texts without a character of the
+    class ``strange``, of which the pattern library knows another kind."""
     letters, numbers = category_ranges("L", NEW_LETTERS), category_ranges("N", NEW_NUMBERS)
-    return pattern.replace(r"\p{L}", letters).replace(r"\p{N}", numbers).replace(r"\s", SPACES)
+    every = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))
+
+    def put(text: str, letters: str, numbers: str) -> str:
+        return text.replace(r"\p{L}", letters).replace(r"\p{N}", numbers).replace(r"\s", SPACES)
+
+    strange: set[str] = set()
+    for kind in (r"\p{L}", r"\p{N}"):
+        strange ^= set(regex.findall(kind, every)) ^ set(re.findall(f"[{put(kind, letters, numbers)}]", every))
+    latin = every[:256]
+    low = [class_body((ord(c), ord(c)) for c in regex.findall(kind, latin)) for kind in (r"\p{L}", r"\p{N}")]
+    return {
+        "latin": put(pattern, *low),
+        "known": pattern.replace(r"\s", SPACES),
+        "full": put(pattern, letters, numbers),
+        "strange": f"[{class_body((ord(c), ord(c)) for c in strange)}]",
+    }
 
 
 def byte_alphabet() -> list[str]:
@@ -125,32 +155,45 @@ def pieces(text: str) -> Iterator[str]:
     yield text[start:]
 
 
-def words(text: str) -> list[str]:
-    """What stands between spaces and line feeds; empty strings among it."""
-    return text.replace("\n", " ").split(" ")
-
-
 class Splitter:
-    """Splits words into pre-tokens; special strings come out as they are."""
-
-    def __init__(self, pattern: str, full: str, specials: list[str]):
-        """``full`` is ``full_pattern(pattern)``, made once on the driver."""
-        plain = pattern.replace(r"\p{L}", "A-Za-z").replace(r"\p{N}", "0-9").replace(r"\s", SPACES)
-        self.ascii, self.any = re.compile(plain).findall, re.compile(full).findall
-        marks = "|".join(re.escape(s) for s in sorted(specials, key=len, reverse=True))
-        self.marks = re.compile(f"({marks})") if marks else None
-
-    def _find(self, part: str) -> list[str]:
-        if part.isascii():
-            return self.ascii(part.lower())
-        # Letter by letter: the form of a final sigma does not depend on its place.
-        return self.any(normal_form(part).translate(_LOWER).lower())
-
-    def split(self, word: str) -> list[tuple[str, bool]]:
-        """(pre-token, whether it is a special string) in order."""
-        if self.marks is None or "<" not in word and not self.marks.search(word):
-            return [(t, False) for t in self._find(word)]
-        out = []
-        for i, part in enumerate(self.marks.split(word)):
-            out += [(part, True)] if i % 2 else [(t, False) for t in self._find(part)]
-        return out
+    """Splits texts into words and words into pre-tokens."""
+
+    def __init__(self, spelled: dict[str, str], specials: list[str]):
+        """``spelled`` is ``spelled_out(pattern)``, made once on the driver."""
+        self.latin = re.compile(spelled["latin"]).findall
+        self.known = regex.compile(spelled["known"]).findall
+        self.strange, self.spelled = re.compile(spelled["strange"]).search, spelled["full"]
+        self.full = None
+        self.marks = re.compile("|".join(map(re.escape, sorted(specials, key=len, reverse=True))) or "(?!)")
+
+    def cut(self, text: str) -> list[tuple[str, bool]]:
+        """(normalised text, false) and (special string, true) in order. Words of the
+        former stand between spaces."""
+        if "<" not in text or not self.marks.search(text):
+            return [(normalised(text).replace("\n", " "), False)]
+        out, start = [], 0
+        for mark in self.marks.finditer(text):
+            out += [(normalised(text[start : mark.start()]).replace("\n", " "), False), (mark[0], True)]
+            start = mark.end()
+        return [*out, (normalised(text[start:]).replace("\n", " "), False)]
+
+    def words(self, text: str) -> list[str]:
+        """Words in order, empty ones among them; special strings after ``SPECIAL``."""
+        cut = self.cut(text)
+        if len(cut) == 1:
+            return cut[0][0].split(" ")
+        return [w for part, special in cut for w in ([SPECIAL + part] if special else part.split(" "))]
+
+    def split(self, word: str) -> list[str]:
+        """Pre-tokens of a word that is no special string."""
+        if word.isalpha():
+            return [word]
+        if word[:-1].isalpha() and word[-1] in ".,;:!?":
+            return [word[:-1], word[-1]]
+        if not _BEYOND_LATIN(word):
+            return self.latin(word)
+        if not self.strange(word):
+            return self.known(word)
+        if self.full is None:
+            self.full = re.compile(self.spelled).findall
+        return self.full(word)

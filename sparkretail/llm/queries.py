@@ -21,6 +21,7 @@ from sparkretail.llm import (
     token_counts,
     topk,
     toxicity,
+    vector_codes,
 )
 from sparkretail.llm.common import table
 
@@ -78,6 +79,11 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes of every vector under codebooks of four rounds, and their errors."""
+    return vector_codes.coded_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op12_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cheapest repair of every conversation after a fixed damage."""
     return conversations.damaged_report(table(spark, sf_dir, "conversations"))
@@ -97,7 +103,7 @@ QUERIES: dict[str, Query] = {
     q.__name__: q
     for q in (
         op1_decontamination, op2_packing, op3_token_counts, op4_quality, op5_topk, op6_personal_data,
-        op7_page_text, op8_ngram_join, op9_licenses, op10_toxicity, op12_conversations, op13_bpe,
+        op7_page_text, op8_ngram_join, op9_licenses, op10_toxicity, op11_vector_codes, op12_conversations, op13_bpe,
     )
 }
 
@@ -117,4 +123,5 @@ ORACLES: dict[str, str] = {
         SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
     SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 20""",
     "op9_licenses": licenses.oracle(),
+    "op11_vector_codes": vector_codes.oracle(),
 }

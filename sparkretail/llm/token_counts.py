@@ -13,12 +13,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkretail.llm.pretokens import PIECE, Splitter, byte_alphabet, full_pattern, pieces, read_spec, words
+from sparkretail.llm.pretokens import PIECE, Splitter, byte_alphabet, pieces, read_spec, spelled_out
 
-KNOWN = 200_000  # words, and pre-tokens, a task remembers before it starts anew
+GROUP = 4 * PIECE  # characters counted at once
+KNOWN = 400_000  # words, and pre-tokens, a task remembers before it starts anew
 NEVER = np.iinfo(np.int64).max
 
 
@@ -41,8 +43,7 @@ def load(path: str) -> dict:
         "keys": keys[order],
         "ranks": np.arange(len(keys))[order],
         "made": made[order],
-        "pattern": pattern,
-        "full": full_pattern(pattern),
+        "spelled": spelled_out(pattern),
         "specials": [t["content"] for t in spec["added_tokens"]],
     }
 
@@ -88,33 +89,42 @@ class Counter:
 
     def __init__(self, table: dict):
         self.table = table
-        self.split = Splitter(table["pattern"], table["full"], table["specials"]).split
+        self.splitter = Splitter(table["spelled"], table["specials"])
         self.known: dict[str, int] = {}
         self.pre_tokens: dict[str, int] = {}
 
     def learn(self, new: list[str]) -> None:
         """Counts of words that are not known: their pre-tokens, each counted once."""
-        split = [self.split(word) for word in new]
-        tokens = {t for parts in split for t, special in parts if not special}
-        unknown = [t for t in tokens if t not in self.pre_tokens]
+        known, split = self.pre_tokens, self.splitter.split
+        parts = [split(word) for word in new]
+        unknown = list(set().union(*parts).difference(known))
         if unknown:
             left = surviving_symbols([t.encode("utf-8") for t in unknown], self.table)
-            self.pre_tokens.update(zip(unknown, left.tolist(), strict=True))
-        for word, parts in zip(new, split, strict=True):
-            self.known[word] = sum(1 if special else self.pre_tokens[t] for t, special in parts)
+            known.update(zip(unknown, left.tolist(), strict=True))
+        get = known.__getitem__
+        self.known.update((w, get(p[0]) if len(p) == 1 else sum(map(get, p))) for w, p in zip(new, parts))
 
     def counts(self, texts: list[str]) -> list[int]:
         if len(self.known) > KNOWN or len(self.pre_tokens) > KNOWN:
             self.known, self.pre_tokens = {}, {}
-        found = [words(t) for t in texts]
-        new = list(set().union(*found).difference(self.known))
+        plain, marks = [], []
+        for text in texts:
+            cut = self.splitter.cut(text)
+            plain.append(" ".join(part for part, special in cut if not special))
+            marks.append(len(cut) // 2)
+        # Each distinct word of the group leaves Arrow once; the others are numbers.
+        split = pc.split_pattern(pa.array(plain, pa.large_string()), " ")
+        coded = split.values.dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        new = [word for word in distinct if word not in self.known]
         if new:
             self.learn(new)
-        get = self.known.__getitem__
-        return [sum(map(get, f)) for f in found]
+        sizes = np.array([self.known[word] for word in distinct], np.int64)
+        before = np.concatenate(([0], np.cumsum(sizes[coded.indices.to_numpy()])))
+        return (np.diff(before[split.offsets.to_numpy()]) + marks).tolist()
 
     def groups(self, texts: list[str]) -> list[int]:
-        """Counts of whole texts, worked off in groups of about ``PIECE`` characters."""
+        """Counts of whole texts, worked off in groups of about ``GROUP`` characters."""
         totals = [0] * len(texts)
         held, owners, size = [], [], 0
         for i, text in enumerate(texts):
@@ -122,7 +132,7 @@ class Counter:
                 held.append(part)
                 owners.append(i)
                 size += len(part)
-                if size >= PIECE:
+                if size >= GROUP:
                     for j, n in zip(owners, self.counts(held), strict=True):
                         totals[j] += n
                     held, owners, size = [], [], 0
