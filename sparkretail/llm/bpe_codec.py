@@ -85,6 +85,7 @@ class Encoder:
             automaton.add_word(text, number)
             self.shorter[number] = next((spelled[text[:k]] for k in range(len(text) - 1, 0, -1) if text[:k] in spelled), -1)
         automaton.make_automaton()
+        self.reach = max(self.length)
         self.matches = automaton.iter_long  # longest tokens, each from where the last ended
 
     def _apart(self, left: int, right: int, before: int = ALWAYS) -> bool:
@@ -152,7 +153,7 @@ class Encoder:
                 at += length[token]
                 if at == size:
                     return out
-                token = next(self.matches(text, at))[1]
+                token = next(self.matches(text[at : at + self.reach]))[1]
 
     def word(self, word: str) -> bytes:
         """Ids of what stands between two spaces, as little-endian 32-bit integers."""
