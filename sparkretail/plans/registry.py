@@ -16,10 +16,10 @@ from pyspark.sql.types import (
     ShortType,
 )
 
-from sparkretail.plans import click_queries, payment_queries, sales_queries
+from sparkretail.plans import click_queries, payment_queries, sales_queries, table_queries
 from sparkretail.session import pin_utc
 
-_MODULES = (sales_queries, payment_queries, click_queries)
+_MODULES = (sales_queries, payment_queries, click_queries, table_queries)
 
 Query = Callable[[SparkSession, str], DataFrame]
 

@@ -44,6 +44,7 @@ def write_partitioned(
     keys: list[str],
     path: str,
     max_records: int = MAX_RECORDS_PER_FILE,
+    mode: str = "static",
 ) -> None:
     """One folder per key combination, with no more than ``max_records`` rows per file.
 
@@ -74,12 +75,22 @@ def write_partitioned(
     )
     (
         staged.write.mode("overwrite")
+        .option("partitionOverwriteMode", mode)
         .option("maxRecordsPerFile", max_records)
         .partitionBy(*keys)
         .parquet(path)
     )
 
 
+def overwrite_partitions(
+    df: DataFrame, keys: list[str], path: str, max_records: int = MAX_RECORDS_PER_FILE
+) -> None:
+    """Replaces the folders of the key combinations in ``df`` and leaves all others, files
+    and times, as they are. Repeating the write changes nothing, so a job that was cut off
+    is simply run again. ``df`` must not read the folders it replaces."""
+    write_partitioned(df, keys, path, max_records, mode="dynamic")
+
+
 def write_sorted(df: DataFrame, order: list[Column], n_files: int, path: str) -> None:
     """Globally ordered export as ``n_files`` range-ordered part files.
 

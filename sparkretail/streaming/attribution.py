@@ -73,17 +73,17 @@ def drain_to_files(
 
 
 def write_slices(
-    df: DataFrame, slice_column: str, n_slices: int, path: str, files_per_slice: int = 1
+    df: DataFrame, slice_column: str, n_slices: int, path: str, files_per_slice: int = 1, append: bool = False
 ) -> None:
     """Write rows as ``files_per_slice`` files per slice, slice after slice.
 
     A file stream orders its input by modification time, so the slices have to be written
     one after another. With ``files_per_slice`` files per trigger one micro-batch is one
-    slice, however many tasks wrote it.
+    slice, however many tasks wrote it. ``append`` goes on in a folder that has slices.
     """
     for n in range(n_slices):
         part = df.filter(F.col(slice_column) == n).drop(slice_column).repartition(files_per_slice)
-        if n == 0:
+        if n == 0 and not append:
             write_table(part, path)
         else:
             part.write.mode("append").parquet(path)
