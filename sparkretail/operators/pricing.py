@@ -114,10 +114,13 @@ def is_key(values: Sequence[str]) -> Column:
 def _isolated(
     fact: DataFrame, rates: DataFrame, hot: Sequence[Sequence[str]] | None, max_bytes: int
 ) -> DataFrame:
+    further = True
     if hot is None:
         # The heaviest keys; any further one is cut by the salted join of the cold side.
         found = hot_keys(fact.dropna(subset=KEYS), KEYS).orderBy(F.desc("parts"), *KEYS)
-        hot = [tuple(row) for row in found.select(*KEYS).limit(MOST_ISOLATED).collect()]
+        hot = [tuple(row) for row in found.select(*KEYS).limit(MOST_ISOLATED + 1).collect()]
+        further = len(hot) > MOST_ISOLATED
+        hot = hot[:MOST_ISOLATED]
     if not hot:
         return _valid(fact.join(rates.hint("merge"), KEYS))
     is_hot = reduce(lambda a, b: a | b, [is_key(v) for v in hot])
@@ -127,7 +130,10 @@ def _isolated(
         hot_part = _valid(hot_fact.join(F.broadcast(hot_rates), KEYS))
     else:
         hot_part = _salted(hot_fact, hot_rates, BUCKETS)
-    cold_part = _valid(salted_join(cold_fact, cold_rates.hint("merge"), KEYS))
+    if further:
+        cold_part = _valid(salted_join(cold_fact, cold_rates, KEYS, hint="merge"))
+    else:
+        cold_part = _valid(cold_fact.join(cold_rates.hint("merge"), KEYS))
     return hot_part.unionByName(cold_part)
 
 

@@ -37,49 +37,49 @@ def _same_key(keys: Sequence[str], prefix: str) -> Column:
     return found
 
 
-def cut_points(df: DataFrame, keys: Sequence[str], order: Sequence[str], rows_per_task: int) -> DataFrame:
+def cut_points(df: DataFrame, keys: Sequence[str], order: Sequence[str], rows_per_task: int) -> DataFrame | None:
     """Keys with more than ``rows_per_task`` rows and where to cut them: ``_cuts``, rising
     positions in ``order``, in groups of about the root of their number, so that a row finds
-    its piece in two short searches.
+    its piece in two short searches. None if there is no such key.
 
-    There are at most rows / ``rows_per_task`` hot keys, and as many cut points and keys
-    together, so the result may be broadcast.
+    There are at most rows / ``rows_per_task`` hot keys and as many cut points. They are
+    found by two jobs at once and held by the driver, so plans that use them stay small.
     """
-    hot = (
-        df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > rows_per_task)
-        .select(*(F.col(k).alias(f"_hot_{k}") for k in keys), F.ceil(F.col("_n") / rows_per_task).alias("_parts"), "_n")
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > rows_per_task)
+    hot = counts.select(
+        *(F.col(k).alias(f"_hot_{k}") for k in keys), F.ceil(F.col("_n") / rows_per_task).cast("int").alias("_parts"), "_n"
     )
-    place = F.struct(*order).alias("_place")
+    found = hot.collect()
+    if not found:
+        return None
+    known = F.broadcast(df.sparkSession.createDataFrame(found, hot.schema))
     # The share that leaves about SAMPLE rows for each piece, chosen by a hash of the row.
     share = F.greatest(F.floor(F.col("_n") / (F.col("_parts") * SAMPLE)), F.lit(1))
     sample = (
-        df.select(*keys, place).join(F.broadcast(hot), _same_key(keys, "_hot_"), "inner")
+        df.select(*keys, F.struct(*order).alias("_place")).join(known, _same_key(keys, "_hot_"))
         .where(F.pmod(F.xxhash64("_place"), share) == 0)
     )
-    listed = sample.groupBy(*(F.col(k).alias(f"_hot_{k}") for k in keys)).agg(
-        F.array_sort(F.collect_set("_place")).alias("_all"), F.max("_parts").cast("int").alias("_parts")
-    )
+    listed = sample.groupBy(*(f"_hot_{k}" for k in keys), "_parts").agg(F.array_sort(F.collect_set("_place")).alias("_all"))
     # Every so-manieth sampled row begins a piece.
     at = F.transform(
         F.sequence(F.lit(1), F.col("_parts") - 1),
         lambda i: F.element_at("_all", (F.floor(i * F.size("_all") / F.col("_parts")) + 1).cast("int")),
     )
-    cuts = F.array_distinct(at)
-    width = F.ceil(F.sqrt(F.size("_cuts"))).cast("int")
+    width = F.ceil(F.sqrt(F.size("_points"))).cast("int")
     grouped = F.transform(
-        F.sequence(F.lit(0), F.ceil(F.size("_cuts") / F.col("_width")).cast("int") - 1),
-        lambda g: F.slice("_cuts", g * F.col("_width") + 1, F.col("_width")),
+        F.sequence(F.lit(0), F.ceil(F.size("_points") / F.col("_width")).cast("int") - 1),
+        lambda g: F.slice("_points", g * F.col("_width") + 1, F.col("_width")),
     )
-    return (
-        listed.where("_parts > 1 AND size(_all) > 0").withColumn("_cuts", cuts).withColumn("_width", width)
+    cuts = (
+        listed.withColumn("_points", F.array_distinct(at)).withColumn("_width", width)
         .select(*(f"_hot_{k}" for k in keys), grouped.alias("_cuts"), "_width")
     )
+    return df.sparkSession.createDataFrame(cuts.collect(), cuts.schema)
 
 
-def in_pieces(df: DataFrame, keys: Sequence[str], order: Sequence[str], rows_per_task: int) -> DataFrame:
+def in_pieces(df: DataFrame, keys: Sequence[str], order: Sequence[str], cuts: DataFrame) -> DataFrame:
     """``df`` with ``_piece``, how many cut points of its key are not behind a row, and
     ``_cut``, whether the key has any."""
-    cuts = cut_points(df, keys, order, rows_per_task)
     here = F.struct(*order)
     outer = F.size(F.filter("_cuts", lambda group: group[0] <= here))
     inner = F.size(F.filter(F.element_at("_cuts", F.greatest(outer, F.lit(1))), lambda c: c <= here))
@@ -104,7 +104,8 @@ def running(
     (nulls add nothing), ``number`` names a row number from 1, ``previous`` and
     ``following`` map new columns to columns of the row before and after, null at the ends.
     ``order`` should be unique within a key; it decides where keys are cut, so rows that
-    agree in it stay together. Null keys are one key; nulls stand first.
+    agree in it stay together. Null keys are one key; nulls stand first. ``df`` is counted
+    at once and read again by the result, so hand in files or a written table.
     """
     totals, previous, following = dict(totals or {}), dict(previous or {}), dict(following or {})
     names = [*totals, *([number] if number else []), *previous, *following]
@@ -113,7 +114,10 @@ def running(
     kept = df.columns
     if not keys:
         df, keys = df.withColumn("_all", F.lit(0)), ["_all"]
-    cut = in_pieces(df, keys, order, rows_per_task or task_share(df))
+    cuts = cut_points(df, keys, order, rows_per_task or task_share(df))
+    if cuts is None:
+        return _whole_keys(df, kept, keys, order, totals, number, previous, following)
+    cut = in_pieces(df, keys, order, cuts)
     place = F.struct(*order)
     # One row for each piece of a key that is cut; keys in one piece need nothing from others.
     edge = {
@@ -158,6 +162,19 @@ def running(
     )
 
 
+def _whole_keys(df, kept, keys, order, totals, number, previous, following) -> DataFrame:
+    """``running`` if no key has to be cut: plain windows."""
+    window = Window.partitionBy(*keys).orderBy(*order)
+    through = window.rowsBetween(Window.unboundedPreceding, 0)
+    return df.select(
+        *df.columns,
+        *(F.sum(c).over(through).alias(n) for n, c in totals.items()),
+        *([F.row_number().over(window).cast("bigint").alias(number)] if number else []),
+        *(F.lag(c).over(window).alias(n) for n, c in previous.items()),
+        *(F.lead(c).over(window).alias(n) for n, c in following.items()),
+    ).select(*kept, *totals, *([number] if number else []), *previous, *following)
+
+
 def global_rank(df: DataFrame, order: Sequence[str], name: str = "rank", rows_per_task: int | None = None) -> DataFrame:
     """``df`` with the place of each row in the rising order of ``order``, from 1. No task
     numbers more than a share of the rows."""

@@ -72,14 +72,24 @@ def salted_join(
     keys: list[str],
     how: str = "inner",
     rows_per_task: int = ROWS_PER_TASK,
+    hint: str | None = None,
 ) -> DataFrame:
     """Equi-join that cuts every key of ``left`` with more than ``rows_per_task`` rows.
 
+    The keys are counted at once, by a job of their own: there are at most rows /
+    ``rows_per_task`` of them, and both sides need them. ``hint`` is the join hint of the
+    right side.
+
     Each such key gets as many salts as it needs; rows of other keys keep salt 0, and the
     right side is copied for hot keys only. ``how`` is inner, left, left_semi or left_anti.
     Rows with a NULL key match nothing; they are spread over all tasks.
     """
-    parts = hot_keys(left.dropna(subset=keys), keys, rows_per_task).withColumnRenamed("parts", "_parts")
+    counted = hot_keys(left.dropna(subset=keys), keys, rows_per_task).withColumnRenamed("parts", "_parts")
+    found = counted.collect()
+    hinted = (lambda df: df.hint(hint)) if hint else (lambda df: df)
+    if not found and how in ("inner", "left_semi"):  # no row with a null key is kept
+        return left.join(hinted(right), keys, how)
+    parts = left.sparkSession.createDataFrame(found, counted.schema)
     has_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
     row = F.xxhash64(*left.columns)
     salt = F.when(has_null, F.pmod(row, F.lit(2**31 - 1)).cast("int")).otherwise(
@@ -92,7 +102,7 @@ def salted_join(
         .withColumn(_SALT, F.explode(copies))
         .select(*right.columns, _SALT)
     )
-    return left_salted.join(right_salted, [*keys, _SALT], how).drop(_SALT)
+    return left_salted.join(hinted(right_salted), [*keys, _SALT], how).drop(_SALT)
 
 
 def sized_join(

@@ -84,12 +84,13 @@ def chains(events: DataFrame, layout: Layout, rows_per_task: int | None = None)
     events = events.where(F.col(layout.at).isNotNull())
     one = _one_per_time(events, layout)
     marked = one.withColumn("_hash", F.when(F.col(GONE), F.lit("gone")).otherwise(row_hash(layout.tracked)))
-    order = [layout.at]
+    order, spark = [layout.at], events.sparkSession
+    marked = _written(spark, marked)
     seen = running(marked, layout.keys, order, previous={"_hash_before": "_hash"}, rows_per_task=rows_per_task)
     before = F.col("_hash_before")
     # An end that follows nothing or an end says nothing; nor does a value that repeats.
     changed = seen.where(F.coalesce(F.col("_hash") != before, ~F.col(GONE))).drop("_hash_before")
-    versions = running(changed, layout.keys, order, following={"valid_to": layout.at}, rows_per_task=rows_per_task)
+    versions = running(_written(spark, changed), layout.keys, order, following={"valid_to": layout.at}, rows_per_task=rows_per_task)
     newest = events.where(~F.coalesce(GONE, F.lit(False))).groupBy(*(F.col(k).alias(f"_of_{k}") for k in layout.keys)).agg(
         F.max(F.struct("latest_at", "_new", *layout.latest)).alias("_latest")
     )
@@ -103,6 +104,13 @@ def chains(events: DataFrame, layout: Layout, rows_per_task: int | None = None)
     )
 
 
+def _written(spark: SparkSession, df: DataFrame) -> DataFrame:
+    """The same rows from files: ``running`` reads them several times."""
+    path = fresh_path(spark, "chains")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def _same(layout: Layout) -> Column:
     found = F.lit(True)
     for k in layout.keys:

@@ -9,13 +9,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkretail.functions.dates import epoch_micros
-from sparkretail.operators import running, versions
+from sparkretail.operators import gate, running, versions
 from sparkretail.plans.derive import table
 from sparkretail.session import fresh_path, profiled
-from sparkretail.sources import readers, sinks
+from sparkretail.sources import compaction, readers, sinks
 from sparkretail.streaming import attribution, events
 
-PARTS = versions.Layout(keys=["part_id"], tracked=["brand", "size"], latest=["cents"])
+PARTS = versions.Layout(keys=["part_id"], tracked=["brand", "size"], latest=["cents"], buckets=8)
 SLICES, LATE_BY, WIDTH, DELAY = 6, 3, 3_600, 600
 ROWS_PER_FILE = 1_000_000
 
@@ -112,6 +112,49 @@ def rewritten_month(spark: SparkSession, sf: str) -> DataFrame:
     return written.groupBy("month").agg(F.count(F.lit(1)).alias("n_orders"), F.sum("cents").alias("cents"))
 
 
+def _line_rules() -> dict[str, Column]:
+    return {
+        "quantity": F.col("l_quantity").between(1, 45),
+        "discount": F.col("l_discount") <= 0.08,
+        "ship_date": F.col("l_shipdate") >= F.to_timestamp(F.lit("1993-01-01")),
+        "price": F.col("l_extendedprice") > 1000,
+    }
+
+
+def quarantined_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines that keep all rules and lines that break some, written by one job; the counts
+    the job made on the way, beside those of what it wrote."""
+    lines = table(spark, sf, "lineitem")
+    path = fresh_path(spark, "gate")
+    seen = gate.split_valid(lines, _line_rules(), path)
+    bad = gate.quarantined_rows(lines, path, _line_rules())
+    by_rule = bad.select(F.explode("broken").alias("item")).groupBy("item").agg(F.count(F.lit(1)).alias("written"))
+    total = gate.valid_rows(lines, path).agg(F.count(F.lit(1)).alias("written")).select(F.lit("valid_rows").alias("item"), "written")
+    observed = spark.createDataFrame(sorted(seen.items()), "item string, observed bigint")  # a row per rule
+    return total.unionByName(by_rule).join(F.broadcast(observed), "item").select("item", "written", "observed")
+
+
+SMALL_FILES, COMPACT_BYTES = 12, 64 << 20
+
+
+def compacted_orders(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders in folders of many small files, packed into fewer; rows, old and new files."""
+    orders = table(spark, sf, "orders").select(
+        "o_orderkey", F.round(F.col("o_totalprice") * 100).cast("bigint").alias("cents"), "o_orderstatus"
+    )
+    path = fresh_path(spark, "small-files")
+    orders.repartition(SMALL_FILES, "o_orderkey").write.partitionBy("o_orderstatus").parquet(path)
+    spread = compaction.compact(spark, path, ["o_orderstatus"], COMPACT_BYTES).groupBy("o_orderstatus").agg(
+        F.count(F.lit(1)).alias("old_files")
+    )
+    written = spark.read.schema(orders.schema).parquet(path)
+    left = compaction.file_sizes(written, ["o_orderstatus"]).groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("files"))
+    totals = written.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n_orders"), F.sum("cents").alias("cents"))
+    return totals.join(left, "o_orderstatus").join(spread, "o_orderstatus", "left").select(
+        "o_orderstatus", "n_orders", "cents", (F.col("files") < F.col("old_files")).alias("fewer_files")
+    )
+
+
 # ---- streams ---------------------------------------------------------------------------
 
 
@@ -171,6 +214,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         part_versions, part_latest, customer_running_totals, ranked_export, rewritten_month,
+        quarantined_lines, compacted_orders,
         stream_windowed_totals, stream_first_arrivals,
     )
 }
@@ -213,6 +257,18 @@ FROM orders2 WINDOW w AS (PARTITION BY customer_id ORDER BY day, o_orderkey)""",
 last AS (SELECT max(month) AS month FROM o)
 SELECT o.month, count(*) AS n_orders, CAST(sum(cents + CASE WHEN o.month = last.month THEN 100 ELSE 0 END) AS BIGINT) AS cents
 FROM o, last WHERE o.month <> last.month OR o_orderkey % 10 <> 0 GROUP BY 1""",
+    "quarantined_lines": """WITH marked AS (
+  SELECT NOT (l_quantity BETWEEN 1 AND 45) AS quantity, NOT l_discount <= 0.08 AS discount,
+    NOT l_shipdate >= TIMESTAMP '1993-01-01' AS ship_date, NOT l_extendedprice > 1000 AS price FROM lineitem),
+counted AS (
+  SELECT 'quantity' AS item, count(*) FILTER (quantity) AS n FROM marked
+  UNION ALL SELECT 'discount', count(*) FILTER (discount) FROM marked
+  UNION ALL SELECT 'ship_date', count(*) FILTER (ship_date) FROM marked
+  UNION ALL SELECT 'price', count(*) FILTER (price) FROM marked
+  UNION ALL SELECT 'valid_rows', count(*) FILTER (NOT (quantity OR discount OR ship_date OR price)) FROM marked)
+SELECT item, n AS written, n AS observed FROM counted WHERE n > 0""",
+    "compacted_orders": """SELECT o_orderstatus, count(*) AS n_orders,
+  CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS BIGINT) AS cents, CAST(1 AS BIGINT) AS fewer_files FROM orders GROUP BY 1""",
     "stream_windowed_totals": f"""WITH
 b AS (SELECT min(epoch_us(ts)) AS lo, (max(epoch_us(ts)) - min(epoch_us(ts))) // {SLICES} + 1 AS span FROM events),
 placed AS (SELECT epoch_us(ts) AS us, event_id, event_type, CAST(round(value * 100) AS BIGINT) AS cents,

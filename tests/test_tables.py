@@ -8,9 +8,9 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from sparkretail.operators import running, versions
+from sparkretail.operators import gate, running, versions
 from sparkretail.session import profiled
-from sparkretail.sources import readers, sinks
+from sparkretail.sources import compaction, readers, sinks
 from sparkretail.streaming import attribution, events
 
 
@@ -48,13 +48,13 @@ def test_running_values_of_hot_keys(spark, share):
 
 def test_no_piece_of_a_hot_key_holds_more_than_a_share(spark):
     df = spark.range(20_000).select(F.lit(1).alias("key"), (F.col("id") % 3).alias("at"), "id")
-    pieces = running.in_pieces(df, ["key"], ["at", "id"], 1_000).groupBy("_piece").count().collect()
+    pieces = running.in_pieces(df, ["key"], ["at", "id"], running.cut_points(df, ["key"], ["at", "id"], 1_000)).groupBy("_piece").count().collect()
     assert len(pieces) >= 15 and max(r["count"] for r in pieces) < 2_500
     assert sum(r["count"] for r in pieces) == 20_000
 
 
 def test_hot_keys_go_through_windows_by_piece_and_small_broadcasts(spark):
-    df = spark.range(5_000).select(F.lit(1).alias("key"), "id")
+    df = spark.range(5_000).select((F.col("id") % 2).alias("key"), "id")
     plan = readers.plan_text(running.running(df, ["key"], ["id"], number="n", rows_per_task=500))
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     inside = [line for line in plan.splitlines() if "hashpartitioning(key" in line]
@@ -261,3 +261,38 @@ def test_a_stopped_stream_equals_one_that_ran_on(spark, tmp_path):
             events.drain(events.first_arrivals(stream, "ts", ["event_id"], "2 hours"), out, checkpoint, 3)
         results[name] = sorted(tuple(r) for r in spark.read.parquet(out).collect())
     assert results["on"] == results["stopped"] == sorted(event(i, 60 * i) for i in range(80))
+
+
+# ---- quarantine ----
+def test_rows_are_split_by_one_job_with_counts(spark, tmp_path):
+    rules = {"positive": F.col("n") > 0, "small": F.col("n") < 10, "named": F.col("name") != ""}
+    rows = [(1, "a"), (0, "b"), (20, ""), (None, "c"), (5, None), (7, "d"), (7, "d")]
+    df = spark.createDataFrame(rows, "n long, name string")
+    counts = gate.split_valid(df, rules, f"{tmp_path}/out")
+    assert counts == {"rows": 7, "valid_rows": 3, "positive": 2, "small": 2, "named": 2}
+    assert sorted(tuple(r) for r in gate.valid_rows(df, f"{tmp_path}/out").collect()) == [(1, "a"), (7, "d"), (7, "d")]
+    bad = {(r.n, r.name): r.broken for r in gate.quarantined_rows(df, f"{tmp_path}/out", rules).collect()}
+    assert bad == {
+        (0, "b"): ["positive"], (20, ""): ["small", "named"], (None, "c"): ["positive", "small"], (5, None): ["named"],
+    }
+    assert gate.split_valid(df.limit(0), rules, f"{tmp_path}/none")["rows"] == 0
+    assert gate.valid_rows(df, f"{tmp_path}/none").count() == 0
+
+
+# ---- small files ----
+def test_only_folders_with_files_to_spare_are_packed(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    many = spark.range(3_000).select("id", F.lit("many").alias("k")).repartition(9)
+    one = spark.range(3_000).select("id", F.lit("one").alias("k")).coalesce(1)
+    many.unionByName(one).write.partitionBy("k").parquet(path)
+    before = files(path)
+    sizes = [r["bytes"] for r in compaction.file_sizes(spark.read.parquet(path), ["k"]).where("k = 'many'").collect()]
+    assert len(sizes) == 9
+    plan = compaction.compact(spark, path, ["k"], target=3 * max(sizes)).collect()
+    after = files(path)
+    assert len(plan) == 9 and {r["k"] for r in plan} == {"many"}
+    assert {f: t for f, t in after.items() if "k=one" in f} == {f: t for f, t in before.items() if "k=one" in f}
+    assert 1 <= sum("k=many" in f for f in after) <= 4
+    assert spark.read.parquet(path).groupBy("k").agg(F.sum("id").alias("s")).where(f"s = {sum(range(3_000))}").count() == 2
+    compaction.compact(spark, path, ["k"], target=1)  # every file is full: nothing is touched
+    assert files(path) == after
