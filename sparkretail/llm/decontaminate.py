@@ -23,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import BooleanType, StructField, StructType
 
 from sparkretail.llm.shingles import NOT_WORD, U64, WORD_VALUES, shingles, text_blocks, words
@@ -247,6 +248,7 @@ def find_leaks(
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
     item_kind = benchmark.schema["item_id"].dataType.simpleString()
+    item_type = to_arrow_type(benchmark.schema["item_id"].dataType)
     schema = (
         f"doc_id {kind}, item_id {item_kind}, item_words long, matched_words long, coverage double, "
         "n_tiles long, reordered boolean"
@@ -264,15 +266,14 @@ def find_leaks(
                     {"doc_id": ids[i].as_py()} | leak for i, leaks in search(batch.column(1)) for leak in leaks
                 ]
                 if rows:
-                    yield pa.RecordBatch.from_pylist(rows, schema=_arrow(ids.type, rows))
+                    yield pa.RecordBatch.from_pylist(rows, schema=_arrow(ids.type, item_type))
 
         return texts.mapInArrow(run, schema)
 
     return reduce(DataFrame.unionByName, [of_slice(part) for part in _slices(benchmark)])
 
 
-def _arrow(id_type: pa.DataType, rows: list[dict]) -> pa.Schema:
-    item_type = pa.string() if isinstance(rows[0]["item_id"], str) else pa.int64()
+def _arrow(id_type: pa.DataType, item_type: pa.DataType) -> pa.Schema:
     return pa.schema(
         [("doc_id", id_type), ("item_id", item_type), ("item_words", pa.int64()), ("matched_words", pa.int64()),
          ("coverage", pa.float64()), ("n_tiles", pa.int64()), ("reordered", pa.bool_())]

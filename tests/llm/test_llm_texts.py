@@ -69,6 +69,15 @@ def test_tiles_are_greedy():
         assert sorted(decontaminate.tiles(doc, item, 3)) == sorted(greedy_tiles(doc, item, 3))
 
 
+def test_text_item_ids_may_be_null(spark):
+    item = " ".join(f"w{i}" for i in range(30))
+    other = " ".join(f"v{i}" for i in range(30))
+    bench = spark.createDataFrame([(None, item), ("b", other)], "item_id string, text string")
+    docs = spark.createDataFrame([("x", item), (None, other)], "doc_id string, text string")
+    got = decontaminate.find_leaks(docs, bench).select("doc_id", "item_id").collect()
+    assert sorted(map(tuple, got), key=str) == sorted([("x", None), (None, "b")], key=str)
+
+
 def test_leaks_are_found_in_any_order(spark, monkeypatch):
     item = " ".join(f"w{i}" for i in range(30))
     parts = item.split()
