@@ -9,10 +9,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkretail.functions.dates import epoch_micros
-from sparkretail.operators import gate, running, versions
+from sparkretail.operators import gate, hash_tree, running, sketches, versions
 from sparkretail.plans.derive import table
 from sparkretail.session import fresh_path, profiled
-from sparkretail.sources import compaction, readers, sinks
+from sparkretail.sources import colocated, compaction, readers, sinks
 from sparkretail.streaming import attribution, events
 
 PARTS = versions.Layout(keys=["part_id"], tracked=["brand", "size"], latest=["cents"], buckets=8)
@@ -155,6 +155,51 @@ def compacted_orders(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+BUCKETS = 8
+
+
+def colocated_orders(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders and their lines joined bucket by bucket, per status."""
+    orders = table(spark, sf, "orders").select(F.col("o_orderkey").alias("order_id"), "o_orderstatus")
+    lines = table(spark, sf, "lineitem").select(
+        F.col("l_orderkey").alias("order_id"), F.round(F.col("l_extendedprice") * 100).cast("bigint").alias("cents")
+    )
+    path = fresh_path(spark, "colocated")
+    with colocated.bucketed([orders, lines], ["order_id"], BUCKETS) as (left, right):
+        left.join(right.hint("merge"), "order_id").groupBy("o_orderstatus").agg(
+            F.count(F.lit(1)).alias("n_lines"), F.sum("cents").alias("cents")
+        ).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def customers_by_month(spark: SparkSession, sf: str) -> DataFrame:
+    """Distinct customers per month from daily sketches, against the exact number."""
+    orders = table(spark, sf, "orders").select(
+        F.col("o_orderdate").cast("date").alias("day"), F.date_format("o_orderdate", "yyyy-MM").alias("month"), "o_custkey"
+    )
+    path = fresh_path(spark, "daily-sketches")
+    sketches.sketched(orders, ["month", "day"], F.col("o_custkey")).write.parquet(path)
+    monthly = sketches.estimated(sketches.merged(spark.read.parquet(path), ["month"]), "estimate")
+    exact = orders.groupBy("month").agg(F.count_distinct("o_custkey").alias("customers"))
+    off = F.abs(F.col("estimate") - F.col("customers"))
+    return exact.join(monthly, "month").select(
+        "month", "customers", (off <= 4 * sketches.relative_error() * F.col("customers")).alias("close")
+    )
+
+
+def tree_difference(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders against a copy in which some are missing, new, repeated or changed."""
+    key, total = F.col("o_orderkey"), F.col("o_totalprice")
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus", "o_orderpriority")
+    copy = orders.where("o_orderkey % 101 <> 0").select(
+        F.when(key % 103 == 0, -key - 1).otherwise(key).alias("o_orderkey"),
+        F.when(key % 107 == 0, total + 5).when(key % 109 == 0, total + 0.25).otherwise(total).alias("o_totalprice"),
+        F.when(key % 113 == 0, "X").otherwise(F.col("o_orderstatus")).alias("o_orderstatus"), "o_orderpriority",
+    )
+    copy = copy.unionByName(copy.where("o_orderkey % 127 = 0"))
+    return hash_tree.tree_diff(orders, copy, ["o_orderkey"], absolute={"o_totalprice": 0.5})
+
+
 # ---- streams ---------------------------------------------------------------------------
 
 
@@ -214,7 +259,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         part_versions, part_latest, customer_running_totals, ranked_export, rewritten_month,
-        quarantined_lines, compacted_orders,
+        quarantined_lines, compacted_orders, colocated_orders, customers_by_month, tree_difference,
         stream_windowed_totals, stream_first_arrivals,
     )
 }
@@ -269,6 +314,19 @@ counted AS (
 SELECT item, n AS written, n AS observed FROM counted WHERE n > 0""",
     "compacted_orders": """SELECT o_orderstatus, count(*) AS n_orders,
   CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS BIGINT) AS cents, CAST(1 AS BIGINT) AS fewer_files FROM orders GROUP BY 1""",
+    "colocated_orders": """SELECT o_orderstatus, count(*) AS n_lines,
+  CAST(sum(CAST(round(l_extendedprice * 100) AS BIGINT)) AS BIGINT) AS cents
+FROM orders JOIN lineitem ON o_orderkey = l_orderkey GROUP BY 1""",
+    "customers_by_month": """SELECT strftime(o_orderdate, '%Y-%m') AS month, count(DISTINCT o_custkey) AS customers,
+  CAST(1 AS BIGINT) AS close FROM orders GROUP BY 1""",
+    "tree_difference": """WITH copy AS (
+  SELECT CASE WHEN o_orderkey % 103 = 0 THEN -o_orderkey - 1 ELSE o_orderkey END AS k, o_orderkey % 107 = 0 AS price,
+    o_orderkey % 113 = 0 AND o_orderstatus <> 'X' AS status FROM orders WHERE o_orderkey % 101 <> 0)
+SELECT o_orderkey, 'missing' AS verdict, '' AS columns FROM orders WHERE o_orderkey NOT IN (SELECT k FROM copy)
+UNION ALL SELECT k, 'extra', '' FROM copy WHERE k < 0
+UNION ALL SELECT k, 'duplicate', '' FROM copy WHERE k % 127 = 0 AND k >= 0
+UNION ALL SELECT k, 'mismatch', CASE WHEN price AND status THEN 'o_totalprice,o_orderstatus' WHEN price THEN 'o_totalprice' ELSE 'o_orderstatus' END
+FROM copy WHERE k >= 0 AND k % 127 <> 0 AND (price OR status)""",
     "stream_windowed_totals": f"""WITH
 b AS (SELECT min(epoch_us(ts)) AS lo, (max(epoch_us(ts)) - min(epoch_us(ts))) // {SLICES} + 1 AS span FROM events),
 placed AS (SELECT epoch_us(ts) AS us, event_id, event_type, CAST(round(value * 100) AS BIGINT) AS cents,

@@ -8,9 +8,9 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from sparkretail.operators import gate, running, versions
+from sparkretail.operators import gate, hash_tree, running, sketches, versions
 from sparkretail.session import profiled
-from sparkretail.sources import compaction, readers, sinks
+from sparkretail.sources import colocated, compaction, readers, sinks
 from sparkretail.streaming import attribution, events
 
 
@@ -296,3 +296,52 @@ def test_only_folders_with_files_to_spare_are_packed(spark, tmp_path):
     assert spark.read.parquet(path).groupBy("k").agg(F.sum("id").alias("s")).where(f"s = {sum(range(3_000))}").count() == 2
     compaction.compact(spark, path, ["k"], target=1)  # every file is full: nothing is touched
     assert files(path) == after
+
+
+# ---- co-located tables ----
+def test_bucketed_tables_join_and_group_without_a_shuffle(spark):
+    left = spark.range(2_000).select((F.col("id") % 300).alias("k"), "id")
+    right = spark.range(300).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    with colocated.bucketed([left, right], ["k"], 5) as (a, b):
+        joined = a.join(b.hint("merge"), "k").groupBy("k").agg(F.sum("v").alias("s"), F.count(F.lit(1)).alias("n"))
+        assert "Exchange" not in readers.plan_text(joined) and "SortMergeJoin" in readers.plan_text(joined)
+        got = {r.k: (r.s, r.n) for r in joined.collect()}
+    assert got == {k: (2 * k * n, n) for k in range(300) for n in [len(range(k, 2_000, 300))]}
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("bucketed_")]
+
+
+# ---- sketches ----
+def test_sketches_merge_to_the_sketch_of_all_rows(spark):
+    df = spark.range(30_000).select((F.col("id") % 40).alias("day"), (F.col("id") % 40 % 4).alias("month"), F.pmod(F.xxhash64("id"), F.lit(9_000)).alias("v"))
+    daily = sketches.sketched(df, ["month", "day"], F.col("v"))
+    merged = {r.month: r.distinct for r in sketches.estimated(sketches.merged(daily, ["month"])).collect()}
+    exact = {r.month: r.n for r in df.groupBy("month").agg(F.count_distinct("v").alias("n")).collect()}
+    assert all(abs(merged[m] - exact[m]) <= 4 * sketches.relative_error() * exact[m] for m in exact)
+    none = sketches.sketched(spark.createDataFrame([(1, None)], "k int, v long"), ["k"], F.col("v"))
+    assert [tuple(r) for r in sketches.estimated(none).collect()] == [(1, 0)]
+
+
+# ---- difference by hash tree ----
+def test_tree_difference_finds_what_a_full_comparison_finds(spark):
+    a = [(k, float(k), "x", None) for k in range(3_000)] + [(None, 1.0, "n", None), (7, 9.0, "y", 1), (8, 8.0, "x", None)]
+    b = [(k, float(k), "x", None) for k in range(3_000) if k not in (5, 6)] + [(None, 1.0, "n", 2), (7, 9.0, "y", 1), (8, 8.5, "x", None)]
+    b += [(-1, 0.0, "e", None), (-1, 0.0, "e", None)]
+    b = [(k, v + (0.3 if k == 20 else 3.0 if k == 21 else 0), s, n) for k, v, s, n in b]
+    schema = "k long, v double, s string, n long"
+    left, right = spark.createDataFrame(a, schema), spark.createDataFrame(b, schema).select("s", "n", "v", "k")
+    got = {tuple(r) for r in hash_tree.tree_diff(left, right, ["k"], absolute={"v": 0.5}).collect()}
+    assert got == {
+        (5, "missing", ""), (6, "missing", ""), (-1, "extra", ""), (None, "mismatch", "n"), (21, "mismatch", "v"),
+        (8, "duplicate", ""),
+    }
+    assert hash_tree.tree_diff(left, left.repartition(7), ["k"]).count() == 0
+    assert hash_tree.tree_diff(left, right, ["k"], relative={"v": 0.2}).where("k IN (20, 21)").count() == 0
+    assert hash_tree.tree_diff(left.limit(0), left, ["k"]).where("verdict = 'extra'").count() == 3_001
+    with pytest.raises(ValueError, match="columns differ"):
+        hash_tree.tree_diff(left, left.drop("n"), ["k"])
+
+
+def test_tree_difference_sorts_no_rows(spark):
+    left = spark.range(1_000).select("id", (F.col("id") * 2).alias("v"))
+    plan = readers.plan_text(hash_tree.tree_diff(left, left.where("id <> 5"), ["id"]))
+    assert "Sort [" not in plan and "SortMergeJoin" not in plan
