@@ -34,6 +34,14 @@ def held_out(column: str = "doc_id") -> Column:
     return F.coalesce(fold == 0, F.lit(False))
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` has it (in any case of letters)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def slots(spark: SparkSession) -> int:
     """Tasks that run at once."""
     return max(1, spark.sparkContext.defaultParallelism)

@@ -2,18 +2,21 @@
 
 1. A character language model counts letter trigrams over all documents.
 2. A lexicon of word beginnings and words is learnt from a bounded sample of labels.
-3. Every text is searched for the lexicon. Places that look disguised (digits or signs
-   among letters, a letter three times or more, single letters set apart) become
-   character lattices: each sign offers the letters it may stand for, or none, at the cost
-   of a noisy channel. Viterbi decoding under the language model restores the likeliest
-   reading, which is searched as well.
+3. Every text is searched for the lexicon. Every run without white space and every row of
+   letters set apart, of any length, is a character lattice: a sign offers the letters it
+   may stand for, none, or the end of a word, a letter that repeats offers to be left out,
+   a letter of another script offers its Latin double, all at the cost of a noisy channel.
+   Viterbi decoding under the language model restores the likeliest reading, which is
+   searched as well. A lattice with one path only is its own reading and is not decoded.
 4. The score is a noisy-or over the lexicon entries found.
 """
 
 from __future__ import annotations
 
 import math
+import os
 import re
+import unicodedata
 from collections.abc import Iterator
 
 import ahocorasick
@@ -23,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from sparkretail.llm.common import durable, held_out
+from sparkretail.llm.common import durable, held_out, unused
 from sparkretail.llm.labelled import training_rows
 from sparkretail.llm.shingles import mix, text_shingles
 
@@ -42,19 +45,31 @@ STANDS_FOR = {
     "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "€": "e", "(": "c", "¡": "i",
 }
 ANY = "abcdefghijklmnopqrstuvwxyz"
-# Costs of the channel, in nats: a sign for a letter, an unknown sign for any letter, a
-# sign put in, a letter repeated (in a run of three or more, and once), a gap between
-# letters set apart.
-SIGN, UNKNOWN, EXTRA, REPEAT, TWICE, GAP = 1.0, 4.0, 2.5, 0.3, 2.0, 0.1
+# Cyrillic and Greek letters that look like Latin ones.
+LOOKS_LIKE = {
+    "а": "a", "в": "b", "е": "e", "з": "z", "і": "i", "ј": "j", "к": "k", "м": "m", "н": "h", "о": "o", "р": "p",
+    "с": "c", "ѕ": "s", "т": "t", "у": "y", "х": "x", "ԁ": "d", "ո": "n", "α": "a", "ε": "e", "ι": "i", "κ": "k",
+    "ν": "v", "ο": "o", "ρ": "p", "τ": "t", "υ": "u", "χ": "x",
+}
+ANY = "abcdefghijklmnopqrstuvwxyz"
+# Costs of the channel, in nats: a sign or a foreign letter for a letter, a masked letter,
+# a sign put in, a letter repeated (in a run of three or more, and once), a gap between
+# letters set apart, the end of a word at a gap, at a sign, at other punctuation.
+SIGN, MASKED, EXTRA, REPEAT, TWICE, GAP = 1.0, 1.5, 2.5, 0.3, 2.0, 0.1
+SPACED, AT_SIGN, AT_MARK = 0.1, 2.5, 0.0
+NUMBER = 12  # more signs or digits in a row are a number or a rule, not letters
 
 LETTER = r"[^\W\d_]"
-SIGNS = r"[0-9@$!|+*€#]"
-DISGUISED = re.compile(rf"{LETTER}{SIGNS}{{1,3}}{LETTER}|(?<!\S)[0-9@$]{LETTER}{{2}}|({LETTER})\1\1", re.I)
 APART = re.compile(
-    rf"(?<![\w@$])(?:(?:{LETTER}|[0-9@$!])[ .\-_*~]{{1,2}}){{2,39}}(?:{LETTER}|[0-9@$!])(?![\w@$])"
+    rf"(?<![\w@$])(?:(?:{LETTER}|[0-9@$!])[ .\-_*~]{{1,2}}){{2,}}(?:{LETTER}|[0-9@$!])(?![\w@$])"
 )
 WORDS = re.compile(rf"{LETTER}+")
-LONGEST_TOKEN = 48  # longer runs without white space are not words
+TOKENS = re.compile(r"\S+")
+EDGES = re.compile(r"^[^\w@$€]+|[^\w@$€]+$")
+# Where a lattice branches: a sign, a repeated letter, a letter that has a double.
+BRANCHES = re.compile(rf"[\W\d_]|({LETTER})\1|[{''.join(LOOKS_LIKE)}]|[\uff21-\uff5a]", re.I)
+KEPT = 64  # readings of tokens up to this length are remembered, longer ones decoded anew
+REMEMBERED = 500_000
 
 # ---- character language model ----
 LETTERS = "abcdefghijklmnopqrstuvwxyz" + "".join(chr(c) for c in range(0xDF, 0x100) if c != 0xF7)
@@ -135,63 +150,88 @@ def language_model(counts: np.ndarray, lexicon: dict[str, float], share: float =
 
 
 # ---- decoding ----
-def lattice(token: str, apart: bool) -> list[list[tuple[str, float]]]:
-    """For each character of a disguised token the letters it may stand for, with costs."""
-    steps = []
-    low = token.lower()
+def lattice(token: str, apart: bool) -> Iterator[list[tuple[str, float]]]:
+    """For each character of a token the letters it may stand for, with costs; "" is no
+    letter and a space the end of a word."""
+    low = unicodedata.normalize("NFKC", token).lower()
+    run_end = 0
     for i, c in enumerate(low):
-        before = low[i - 1] if i else ""
         if c.isalpha():
             options = [(c, 0.0)]
-            if c == before:
+            if c in LOOKS_LIKE:
+                options.append((LOOKS_LIKE[c], SIGN))
+            if i and c == low[i - 1]:
                 options.append(("", REPEAT if c * 3 in low[max(0, i - 2) : i + 3] else TWICE))
+            yield options
+            continue
+        if i >= run_end:  # measure each run of signs once
+            run_end = i + 1
+            while run_end < len(low) and not low[run_end].isalpha():
+                run_end += 1
+            long_run = run_end - i > NUMBER and not apart
+        if long_run:
+            yield [(" ", 0.0)]
         elif c in STANDS_FOR:
-            options = [(x, SIGN) for x in STANDS_FOR[c]] + [("", EXTRA)]
-        elif c in "*#" and not apart:
-            options = [("", EXTRA)] + [(x, UNKNOWN) for x in ANY]
+            yield [(x, SIGN) for x in STANDS_FOR[c]] + [("", EXTRA), (" ", AT_SIGN)]
+        elif apart:
+            yield [("", GAP), (" ", SPACED)]
+        elif c in "*#":
+            yield [("", EXTRA), (" ", AT_SIGN)] + [(x, MASKED) for x in ANY]
         else:
-            options = [("", GAP if apart else EXTRA)]
-        steps.append(options)
-    return steps
+            yield [("", EXTRA), (" ", AT_MARK)]
+
+
+INDEX = {c: i + 1 for i, c in enumerate(LETTERS)} | {" ": 0}
 
 
 def decode(token: str, model: np.ndarray, apart: bool = False) -> str:
-    """The likeliest reading of a disguised token. Ties go to the smaller string."""
+    """The likeliest reading of a token. Ties go to the smaller string.
+
+    What all surviving paths share is set down as soon as it is decided, so time grows
+    with the length and memory with the undecided rest."""
+    settled: list[str] = []
     best = {(0, 0): (0.0, "")}
-    index = {c: i + 1 for i, c in enumerate(LETTERS)}
-    for options in lattice(token, apart):
+    for step, options in enumerate(lattice(token, apart)):
         new: dict[tuple[int, int], tuple[float, str]] = {}
         for (a, b), (cost, text) in best.items():
             for letter, price in options:
-                if letter:
-                    code = index.get(letter, OTHER)
+                if letter == " " and b == 0:  # no empty words
+                    state, found = (a, b), (cost + price, text)
+                elif letter:
+                    code = INDEX.get(letter, OTHER)
                     state, found = (b, code), (cost + price + model[a, b, code], text + letter)
                 else:
                     state, found = (a, b), (cost + price, text)
                 if state not in new or found < new[state]:
                     new[state] = found
         best = new
+        if len(best) == 1 or step % KEPT == KEPT - 1:
+            shared = os.path.commonprefix([text for _, text in best.values()])
+            settled.append(shared)
+            best = {state: (cost, text[len(shared) :]) for state, (cost, text) in best.items()}
     ends = [(cost + model[a, b, 0], text) for (a, b), (cost, text) in best.items()]
-    return min(ends)[1]
+    return "".join(settled) + min(ends)[1]
 
 
-def disguised(text: str) -> Iterator[tuple[str, bool]]:
-    """Tokens of a text that look disguised: (token, letters set apart)."""
-    done = -1
-    for m in DISGUISED.finditer(text):
-        if m.start() < done:
-            continue
-        start, end = m.start(), m.end()
-        while start > 0 and end - start <= LONGEST_TOKEN and not text[start - 1].isspace():
-            start -= 1
-        while end < len(text) and end - start <= LONGEST_TOKEN and not text[end].isspace():
-            end += 1
-        done = end
-        core = re.sub(r"^[^\w@$]+|[^\w]+$", "", text[start:end])
-        if 3 <= len(core) <= LONGEST_TOKEN and sum(c.isalpha() for c in core) >= 2:
-            yield core, False
-    for m in APART.finditer(text):
-        yield m.group(), True
+FOLD = str.maketrans(LOOKS_LIKE)
+NOT_LETTERS = re.compile(r"[\W\d_]+")
+REPEATED = re.compile(r"(.)\1+")
+SUPPLY = re.compile(f"[{re.escape(''.join(STANDS_FOR))}*#]")  # signs that may become letters
+
+
+def skeleton(word: str) -> str:
+    """Letters only, foreign doubles replaced, each run of a letter once. If no sign of a
+    token may become a letter, the skeleton of each entry in any of its readings is a part
+    of the token's own."""
+    low = unicodedata.normalize("NFKC", word).lower().translate(FOLD)
+    return REPEATED.sub(r"\1", NOT_LETTERS.sub("", low))
+
+
+def branching(token: str) -> str:
+    """The part of a token that has several readings to choose from, or "". Numbers and
+    signs without any letter are no words."""
+    core = EDGES.sub("", token)
+    return core if BRANCHES.search(core) and WORDS.search(core) else ""
 
 
 # ---- lexicon ----
@@ -297,9 +337,11 @@ class Finder:
     def __init__(self, learnt: dict):
         self.learnt = learnt
         self.automaton = None
-        self.restored: dict[tuple[str, bool], str] = {}
+        self.skeletons = None
+        self.without: set[str] = set()  # tokens whose readings hold no entry
+        self.restored: dict[tuple[str, bool], frozenset[str]] = {}
 
-    def _entries(self, low: str) -> set[str]:
+    def _entries(self, low: str, anywhere: bool = False) -> set[str]:
         if self.automaton is None:
             self.automaton = ahocorasick.Automaton()
             for entry in self.learnt["lexicon"]:
@@ -310,27 +352,57 @@ class Finder:
         found = set()
         for end, entries in self.automaton.iter(low):
             start = end + 1 - len(entries[0].rstrip("$"))
-            if start and low[start - 1].isalpha():
+            if start and low[start - 1].isalpha() and not anywhere:
                 continue
-            closed = end + 1 == len(low) or not low[end + 1].isalpha()
+            closed = anywhere or end + 1 == len(low) or not low[end + 1].isalpha()
             found.update(e for e in entries if closed or not e.endswith("$"))
         return found
 
+    def _possible(self, token: str) -> bool:
+        """False only if no reading of the token can hold an entry."""
+        if SUPPLY.search(unicodedata.normalize("NFKC", token)):
+            return True
+        if self.skeletons is None:
+            self.skeletons = ahocorasick.Automaton()
+            for entry in self.learnt["lexicon"]:
+                self.skeletons.add_word(skeleton(entry), None)
+            self.skeletons.make_automaton()
+        return next(self.skeletons.iter(skeleton(token)), None) is not None
+
     def find(self, text: str) -> tuple[set[str], set[str]]:
         """Entries as written, and further ones as restored."""
         if not self.learnt["lexicon"]:
             return set(), set()
         written = self._entries(text.lower())
+        tokens = set(text.split() if len(text) < CHUNK else map(re.Match.group, TOKENS.finditer(text)))
         restored = set()
-        for token in disguised(text):
-            reading = self.restored.get(token)
-            if reading is None:
-                if len(self.restored) > 200_000:
-                    self.restored.clear()
-                reading = self.restored[token] = decode(token[0], self.learnt["model"], token[1])
-            restored |= self._entries(reading)
+        for token in tokens.difference(self.without):
+            restored |= self._restored(token, False)
+        for m in APART.finditer(text):
+            restored |= self._restored(m.group(), True)
         return written, restored - written
 
+    def _restored(self, token: str, apart: bool) -> frozenset[str]:
+        """The entries in the reading of a token. Where letters stand apart the reading
+        does not tell where words begin, so an entry may stand anywhere in it."""
+        found = self.restored.get((token, apart))
+        if found is not None:
+            return found
+        core = token if apart else branching(token)
+        if not core or not self._possible(core):
+            found = frozenset()
+        else:
+            found = frozenset(self._entries(decode(core, self.learnt["model"], apart), apart))
+        if len(token) <= KEPT:
+            if len(self.without) + len(self.restored) > REMEMBERED:
+                self.without.clear()
+                self.restored.clear()
+            if found or apart:
+                self.restored[token, apart] = found
+            else:
+                self.without.add(token)
+        return found
+
     def score(self, text: str) -> float:
         written, restored = self.find(text)
         precision = self.learnt["lexicon"]
@@ -371,8 +443,11 @@ def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     The labels of held-out rows are not read, and neither labels nor ids, languages or
     sources are inputs of a score. Null and empty texts have the score of a document
     without any entry. Repeated rows and null ids keep their rows. Without labels, or
-    without a toxic one, the lexicon is empty and all texts have the same score. Other
-    columns are ignored; an empty table gives an empty result.
+    without a toxic one, the lexicon is empty and all texts have the same score. Texts and
+    words of any length are read whole; of readings with the same cost the smaller string
+    counts. More than ``NUMBER`` signs or digits in a row, and tokens without any letter,
+    are numbers or rules and not read as letters. Other columns are ignored; an empty
+    table gives an empty result.
     """
     learnt = learn(docs, labels)
     scored = with_score(docs.select("doc_id", "text"), learnt)
@@ -386,5 +461,6 @@ def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def keep_clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``docs`` without the rows that are predicted toxic; all columns stay as they are."""
-    scored = with_score(docs.withColumnRenamed("_score", "_score_in"), learn(docs, labels), column="_score")
-    return scored.where("_score < 0.5").drop("_score").withColumnRenamed("_score_in", "_score")
+    column = unused(docs, "_score")
+    scored = with_score(docs, learn(docs, labels), column=column)
+    return scored.where(F.col(column) < 0.5).drop(column)

@@ -28,6 +28,59 @@ def test_disguised_words_are_restored():
         assert finder.score(text) == pytest.approx(0.01), text
 
 
+def plain_finder():
+    lexicon = {w + "$": 0.99 for w in ("idiot", "stupid", "loser", "moron")} | {"wretch": 0.9}
+    model = toxicity.language_model(np.ones(toxicity.SIZE**3), lexicon)
+    return toxicity.Finder({"lexicon": lexicon, "model": model, "rest": 0.01})
+
+
+def test_every_token_can_be_restored_whatever_its_length():
+    finder = plain_finder()
+    for text in (
+        "stu" + "u" * 50 + "pid", "https://example.com/a/long/path/of/many/names/and/still/more/1d10t",
+        ",".join(["plain"] * 5000) + ",1d10t", "idio7", "stuppid", "s****d", "ｉｄｉｏｔ", "ѕtupid", "wre7ched",
+        "a s t u p i d plan", " ".join("x" * 60) + " m o r o n", "x" * 200_000 + "-m0ron", "lo$er",
+    ):
+        assert finder.score(text) > 0.5, text[:60]
+    for text in ("x" * 200_000, "1" * 100_000 + "x", "a" + "*" * 100_000 + "b", "1337 455", "letter by letter", "3f9a7c" * 5000):
+        assert finder.score(text) == pytest.approx(0.01), text[:60]
+
+
+def test_decoding_equals_a_search_over_all_readings():
+    finder, r = plain_finder(), np.random.default_rng(3)
+    model = finder.learnt["model"]
+
+    def all_readings(token):
+        found = [(0.0, 0, 0, "")]
+        for options in toxicity.lattice(token, False):
+            longer = []
+            for cost, a, b, text in found:
+                for letter, price in options:
+                    if not letter or (letter == " " and b == 0):
+                        longer.append((cost + price, a, b, text))
+                    else:
+                        code = toxicity.INDEX.get(letter, toxicity.OTHER)
+                        longer.append((cost + price + model[a, b, code], b, code, text + letter))
+            found = longer
+        return [(cost + model[a, b, 0], text) for cost, a, b, text in found]
+
+    for _ in range(150):
+        token = "".join(r.choice(list("idotsup01!$.-сé"), 7))
+        readings = all_readings(token)
+        least = min(c for c, _ in readings)
+        assert toxicity.decode(token, model) in {t for c, t in readings if c < least + 1e-9}, token
+        if not finder._possible(token):
+            assert not any(finder._entries(t) for _, t in readings), token
+
+
+def test_settled_beginnings_do_not_change_a_reading(monkeypatch):
+    model, r = plain_finder().learnt["model"], np.random.default_rng(4)
+    tokens = ["".join(r.choice(list("idotsup01!$.-"), 90)) for _ in range(20)]
+    settled = [toxicity.decode(t, model) for t in tokens]
+    monkeypatch.setattr(toxicity, "KEPT", 10**9)
+    assert settled == [toxicity.decode(t, model) for t in tokens]
+
+
 def test_toxic_documents_are_found(spark):
     docs, labels = table(spark, SF, "documents"), table(spark, SF, "labels")
     scored = toxicity.score_documents(docs.withColumn("score", F.lit(2)), labels)
@@ -45,8 +98,9 @@ def test_rows_without_text_id_or_labels_have_a_score(spark):
         rows = scored.collect()
         assert len(rows) == 4 and all(not math.isnan(r.score) for r in rows)
         assert not next(r for r in rows if r.doc_id is None).held_out
-    kept = toxicity.keep_clean(docs.withColumn("_score", F.lit(9)), labels)
-    assert kept.columns == ["doc_id", "text", "_score"] and kept.count() == 4
+    kept = toxicity.keep_clean(docs.withColumn("_score", F.lit(9)).withColumn("_SCORE_in", F.lit(8)), labels)
+    assert kept.columns == ["doc_id", "text", "_score", "_SCORE_in"] and kept.count() == 4
+    assert {(r[2], r[3]) for r in kept.collect()} == {(9, 8)}
 
 
 # ---- quality ----
