@@ -34,7 +34,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkretail.llm.common import durable
+from sparkretail.llm.common import durable, unused
 from sparkretail.llm.components import components
 from sparkretail.llm.shingles import U64, mix, text_shingles
 
@@ -544,18 +544,19 @@ def keep_one(
     top = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")).alias("top")
     first = worded.groupBy("label").agg(top)
     stays = F.col("doc_id").eqNullSafe(F.col("top.doc_id")) & (F.col("key") == F.col("top.key"))
+    own, lost_id, lost_key = (unused(docs, name) for name in ("_key", "_lost_id", "_lost_key"))
     lost = (
         worded.join(first, "label").where(~stays).select("doc_id", "key").distinct()
-        .select(F.col("doc_id").alias("_lost_id"), F.col("key").alias("_lost_key"))
+        .select(F.col("doc_id").alias(lost_id), F.col("key").alias(lost_key))
     )
     lost = durable(lost)
     if lost.count() <= BROADCAST_ROWS:
         lost = F.broadcast(lost)
-    keyed = docs.withColumn("_key", F.xxhash64(F.col(text_column)))
-    same = keyed["_key"].eqNullSafe(F.col("_lost_key")) & keyed[id_column].cast("long").eqNullSafe(F.col("_lost_id"))
+    keyed = docs.withColumn(own, F.xxhash64(F.col(text_column)))
+    same = keyed[own].eqNullSafe(F.col(lost_key)) & keyed[id_column].cast("long").eqNullSafe(F.col(lost_id))
     kept = keyed.join(lost, same, "left_anti")
     repeated = worded.groupBy("doc_id", "key").count().where("count > 1").limit(1)
     if repeated.count():  # rows that repeat an id and its text: the join above keeps them all
         blank = F.coalesce(F.col(text_column), F.lit("")).rlike(r"^[\x20\x09-\x0D]*$")
-        kept = kept.where(blank).unionByName(kept.where(~blank).dropDuplicates([id_column, "_key"]))
-    return kept.drop("_key")
+        kept = kept.where(blank).unionByName(kept.where(~blank).dropDuplicates([id_column, own]))
+    return kept.drop(own)

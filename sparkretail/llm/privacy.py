@@ -6,7 +6,8 @@ context. Over the whole corpus, a term t reveals an entity e by their pointwise
 information; divided by the information of e itself, log2(N / n_e), this is the share of e
 that t discloses: 1 if t never stands anywhere else. Terms that disclose ``GENERALISE`` or
 more are replaced by what kind of word they are, those that disclose ``REMOVE`` or more
-are taken out. N counts words, n_e and n_t occurrences, over all rows.
+are taken out, wherever they stand in a text where they stand beside the entity once. N
+counts words, n_e and n_t occurrences, over all rows.
 """
 
 from __future__ import annotations
@@ -110,17 +111,18 @@ def _contexts() -> str:
     entity = "if(x.k = 0, lower(x.v), if(x.k = 1, x.v, regexp_replace(x.v, '[^0-9]', '')))"
     return f"""flatten(transform(spans, x -> transform(
         filter({words}, w -> {clear} and length(w.v) >= 3 and w.v rlike '\\\\p{{L}}'),
-        w -> named_struct('entity', concat(x.k, ':', {entity}), 'term', lower(w.v), 's', w.s, 'e', w.e, 'v', w.v))))"""
+        w -> named_struct('entity', concat(x.k, ':', {entity}), 'term', lower(w.v)))))"""
 
 
 def find_base(docs: DataFrame, text_column: str = "text") -> DataFrame:
     """``docs`` with ``_t`` (the text, null as empty), ``spans`` and ``contexts``.
 
-    ``_key`` names the text of rows that have contexts.
+    ``_key`` names the text of rows that have contexts, ``_beside`` is that text.
     """
     found = docs.withColumn("_t", F.coalesce(F.col(text_column), F.lit(""))).withColumn("spans", F.expr(base_spans("_t")))
     found = found.withColumn("contexts", F.expr(f"if(size(spans) > 0, {_contexts()}, array())"))
-    return found.withColumn("_key", F.expr("if(size(contexts) > 0, sha2(_t, 256), null)"))
+    found = found.withColumn("_beside", F.expr("if(size(contexts) > 0, _t, null)"))
+    return found.withColumn("_key", F.sha2("_beside", 256))
 
 
 def disclosing_terms(found: DataFrame, texts: DataFrame) -> DataFrame:
@@ -150,17 +152,32 @@ def disclosing_terms(found: DataFrame, texts: DataFrame) -> DataFrame:
     )
 
 
+def _occurrences() -> str:
+    """SQL for all places of the terms of ``weights`` in a text, outside its base spans."""
+    found = f"""aggregate(
+        zip_with(split(_beside, {_quoted(TERM)}, -1), regexp_extract_all(_beside, {_quoted(TERM)}, 0),
+            (p, h) -> named_struct('p', p, 'h', h, 'd', try_element_at(weights, lower(h)))),
+        named_struct('at', 0, 'out', cast(array() as array<struct<s:int,e:int,disclosure:double,v:string>>)),
+        (a, x) -> named_struct(
+            'at', a.at + length(x.p) + coalesce(length(x.h), 0),
+            'out', if(x.d is null, a.out, concat(a.out, array(named_struct(
+                's', a.at + length(x.p), 'e', a.at + length(x.p) + length(x.h), 'disclosure', x.d, 'v', x.h))))),
+        a -> a.out)"""
+    return f"filter({found}, w -> not exists(spans, b -> w.s < b.e and b.s < w.e))"
+
+
 def _added(found: DataFrame, terms: DataFrame) -> DataFrame:
-    """(_key, added): spans of disclosing terms per text, once for all its copies."""
+    """(_key, added): spans of disclosing terms per text, once for all its copies. A term
+    counts with the most that it discloses of an entity that it stands beside in the text."""
+    beside = found.where("_key IS NOT NULL")
     spots = (
-        found.where("_key IS NOT NULL").select("_key", "contexts").dropDuplicates(["_key"])
-        .select("_key", F.explode("contexts").alias("c")).select("_key", "c.*")
-    )
-    hits = spots.join(terms, ["entity", "term"])
-    strongest = hits.groupBy("_key", "s", "e", "v").agg(F.max("disclosure").alias("disclosure"))
-    return strongest.groupBy("_key").agg(
-        F.sort_array(F.collect_list(F.struct("s", "e", "disclosure", "v"))).alias("added")
+        beside.select("_key", "contexts").dropDuplicates(["_key"])
+        .select("_key", F.explode("contexts").alias("c")).select("_key", "c.*").distinct()
     )
+    strongest = spots.join(terms, ["entity", "term"]).groupBy("_key", "term").agg(F.max("disclosure").alias("disclosure"))
+    weights = strongest.groupBy("_key").agg(F.map_from_entries(F.collect_list(F.struct("term", "disclosure"))).alias("weights"))
+    texts = beside.select("_key", "_beside", "spans").dropDuplicates(["_key"])
+    return texts.join(weights, "_key").select("_key", F.expr(_occurrences()).alias("added"))
 
 
 def _everything(digest: DataFrame, texts: DataFrame, columns: list[str]) -> DataFrame:
@@ -184,12 +201,13 @@ def find_personal_data(docs: DataFrame, id_column: str = "doc_id", text_column:
     """One row per row of ``docs``: doc_id, n_email, n_ip, n_card, n_phone, base_sha256 and
     spans (kind:start:end in code points, comma-joined, by start and then kind).
 
-    ``spans`` holds the base spans and those of disclosing terms, kind ``term``. Null and
+    ``spans`` holds the base spans and those of disclosing terms, kind ``term``, at every
+    place of a text that holds them beside an entity. Null and
     empty texts have none. Spans depend on the text alone, so repeated rows agree; null
     ids are kept; other columns are ignored; an empty table gives an empty result.
     """
     docs = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"))
-    digest = durable(find_base(docs).select("doc_id", "_key", "spans", "contexts"))
+    digest = durable(find_base(docs).select("doc_id", "_key", "_beside", "spans", "contexts"))
     found = _everything(digest, docs, ["doc_id"])
 
     def number(k: int) -> Column:
@@ -211,7 +229,8 @@ def sanitise(docs: DataFrame, text_column: str = "text") -> DataFrame:
     stays null.
     """
     digest = durable(
-        find_base(docs.select(F.col(text_column).alias("text"))).select("_key", "spans", "contexts").where("size(spans) > 0")
+        find_base(docs.select(F.col(text_column).alias("text"))).select("_key", "_beside", "spans", "contexts")
+        .where("size(spans) > 0")
     )
     added = _added(digest, disclosing_terms(digest, docs.select(F.col(text_column).alias("text"))))
     names = [c for c in docs.columns]

@@ -86,6 +86,9 @@ def test_one_row_of_each_group_stays(spark, monkeypatch):
             [(1, None), (2, ""), (2, ""), (None, "p q r s t u"), (7, "A b c d e f"), (10, "x y")], key=str
         )
     assert ngram_join.keep_one(docs.limit(0)).count() == 0
+    more = docs.withColumn("_key", F.lit(7)).withColumn("_LOST_id", F.lit(8)).withColumn("_lost_key", F.lit(9))
+    left = ngram_join.keep_one(more)
+    assert left.columns == more.columns and {tuple(r)[-3:] for r in left.collect()} == {(7, 8, 9)}
 
 
 def test_components_of_a_long_chain(spark):

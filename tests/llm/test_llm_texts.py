@@ -158,6 +158,24 @@ def test_disclosing_terms_are_taken_out(spark):
     assert texts[100] == rows[6][1] and texts[7] is None and texts[8] == ""
 
 
+def test_disclosing_terms_are_found_all_over_a_text_that_holds_the_entity(spark):
+    far = "x" * 300 + " filler\n" * 40
+    rows = [(i, f"Zorblax wrote from zor@blax.com\n{far}Later ZORBLAX, zorblaxian and 😀 a-Zorblax came") for i in range(6)]
+    rows += [(50, rows[0][1])] * 3 + [(60, "nobody else here")]
+    rows += [(100 + i, "the order wrote from later came nobody and else plain filler a") for i in range(4000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found: dict[int, set[str]] = {}
+    for r in privacy.find_personal_data(docs).collect():
+        found.setdefault(r.doc_id, set()).add(r.spans)
+    text = rows[0][1]
+    spans = [("email", m.start(), m.end()) for m in re.finditer(r"zor@blax.com", text)]
+    spans += [("term", m.start(), m.end()) for m in re.finditer(r"(?i)\bzorblax\b", text)]
+    expected = ",".join(f"{k}:{a}:{e}" for k, a, e in sorted(spans, key=lambda x: x[1]))
+    assert len(spans) == 4 and found[0] == found[50] == {expected} and found[60] == {""}
+    clean = {r.doc_id: r.text for r in privacy.sanitise(docs).collect()}
+    assert not re.search(r"(?i)\bzorblax\b", clean[0]) and "zorblaxian" in clean[0] and clean[60] == "nobody else here"
+
+
 # ---- pages ----
 def test_blocks_of_pages():
     def texts(page):
