@@ -292,7 +292,8 @@ def score_documents(docs: DataFrame, labels: DataFrame, least: float = 0.3) -> D
     sources are inputs of a score. Null and empty texts are one empty line. Repeated rows
     and null ids keep their rows. Without labels of both kinds all texts have the share of
     good labels as their score (0.5 without any). Other columns are ignored; an empty
-    table gives an empty result.
+    table gives an empty result. The fit takes at most ``SAMPLE`` labelled documents of at
+    most ``LONGEST_SAMPLE`` bytes each; every text is scored whole, however long.
     """
     scored = with_score(docs.select("doc_id", "text"), learn(docs, labels))
     return scored.select(
