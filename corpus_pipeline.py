@@ -2,37 +2,60 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkretail.llm import decontaminate, ngram_join, packing, privacy, toxicity
-from sparkretail.llm.common import table
+from sparkretail.llm.common import small_batches, table
 from sparkretail.llm.queries import TOKENIZER
 from sparkretail.session import fresh_path
 
 
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def in_small_batches(stage: Stage) -> Stage:
+    """The stage, also what it returns unrun, with small batches to Python: stages share
+    their executors, so what one of them leaves allocated counts for all that follow."""
+
+    @wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        small_batches(spark)
+        return stage(spark, docs, sf_dir)
+
+    return run
+
+
+@in_small_batches
 def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are predicted toxic go."""
     return toxicity.keep_clean(docs, table(spark, sf_dir, "labels"))
 
 
+@in_small_batches
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays."""
     return ngram_join.keep_one(docs)
 
 
+@in_small_batches
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which a benchmark item leaks go."""
     return decontaminate.drop_leaking(docs, table(spark, sf_dir, "benchmark"))
 
 
+@in_small_batches
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data and the terms that give it away leave the texts."""
     clean = privacy.sanitise(docs)
     return clean.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else clean
 
 
+@in_small_batches
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document's place in a batch, its length in tokens."""
     return packing.pack(docs, tokenizer=public_tokenizers.path(TOKENIZER))

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from sparkretail.session import shared_dir
 
+BATCH_BYTES = 4 << 20
+
 
 def durable(df: DataFrame) -> DataFrame:
     """The same rows, written once to the shared checkpoint folder.
@@ -42,6 +44,14 @@ def unused(df: DataFrame, name: str) -> str:
     return name
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Batches that go to Python hold about ``BATCH_BYTES`` at most, for all that this
+    session runs from here on. Results do not depend on it. A batch of Spark's own size, up
+    to 64 MB, is held by the JVM outside its heap and again by each Python worker, and both
+    keep that memory for the stages that follow."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def slots(spark: SparkSession) -> int:
     """Tasks that run at once."""
     return max(1, spark.sparkContext.defaultParallelism)

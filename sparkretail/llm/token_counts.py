@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 
 from sparkretail.llm.pretokens import PIECE, Splitter, byte_alphabet, pieces, read_spec, spelled_out
 
-GROUP = 4 * PIECE  # characters counted at once
-KNOWN = 400_000  # words, and pre-tokens, a task remembers before it starts anew
+GROUP = PIECE  # characters counted at once
+KNOWN = 200_000  # words, and pre-tokens, a task remembers before it starts anew
 NEVER = np.iinfo(np.int64).max
 
 

@@ -8,11 +8,13 @@ import re
 
 import oracle
 import public_tokenizers
+import pyarrow as pa
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from sparkretail.llm import decontaminate, licenses, packing, page_text, privacy, queries, token_counts
+from sparkretail.llm import common, decontaminate, licenses, packing, page_text, pretokens, privacy, queries, token_counts
+from sparkretail.session import conf_overlay
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 
@@ -331,3 +333,34 @@ def test_the_budget_holds_in_tokens(spark, tmp_path):
         for b in packing.batches(packed).collect():
             assert b.rows * b.padded_to <= packing.BUDGET or b.rows == 1
     assert corpus_pipeline.pack(spark, docs.limit(0), "").count() == 0
+
+
+def test_token_counts_hold_little_text_at_once(monkeypatch):
+    held, counts = [], token_counts.Counter.counts
+
+    def spied(self, texts):
+        held.append(sum(map(len, texts)))
+        return counts(self, texts)
+
+    monkeypatch.setattr(token_counts.Counter, "counts", spied)
+    texts = ["word " * 60_000] * 20 + ["word " * 900_000]
+    got = token_counts.Counter(token_counts.load(PATH)).groups(texts)
+    assert got == [60_000] * 20 + [900_000]
+    assert sum(held) == sum(map(len, texts)) and max(held) < 2 * pretokens.PIECE + 8
+
+
+def test_stages_hand_small_batches_to_python(spark, sf):
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows]), pa.array([batch.nbytes])], names=["n", "size"])
+
+    text = F.repeat(F.lit("word "), 80_000)
+    docs = spark.range(0, 40, numPartitions=1).select(F.col("id").alias("doc_id"), text.alias("text"))
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    for stage in (corpus_pipeline.decontamination, corpus_pipeline.pack):
+        with conf_overlay(spark, {key: "64m"}):
+            assert stage(spark, docs, sf).count() == 40
+            got = docs.mapInArrow(sizes, "n long, size long").collect()
+        assert sum(x.n for x in got) == 40
+        assert max(x.size for x in got) < common.BATCH_BYTES + 500_000
+    assert all(hasattr(stage, "__wrapped__") for _, stage in corpus_pipeline.STAGES)
